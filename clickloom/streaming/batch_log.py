@@ -1,0 +1,143 @@
+"""Result tables of a stream: one folder of Parquet files per micro-batch.
+
+A micro-batch may be delivered again after a failure. Its folder is written aside and
+renamed once complete, and a batch whose folder is there is not written again; what a
+batch reads is limited to batches before it. So a repeated batch changes nothing, and
+a stream that reads the folders sees each file once. (The rename must be atomic, as it
+is on HDFS and local disks.)
+
+Upserts are resolved when read: added up, or last one wins. Every ``fold_every``
+batches the resolved table is written as a fold, and reading starts from the newest
+fold; folders older than that can be removed at any time.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
+
+from clickloom.schemas import as_schema
+
+Resolve = Callable[[DataFrame], DataFrame]
+
+
+def sum_by_key(keys: Sequence[str], measure: str = "click_count") -> Resolve:
+    """Additive upsert."""
+    return lambda log: log.groupBy(*keys).agg(F.sum(measure).alias(measure))
+
+
+def last_by_key(keys: Sequence[str], measure: str = "click_count") -> Resolve:
+    """Replacing upsert: the latest batch that names a key sets its measure."""
+    return lambda log: log.groupBy(*keys).agg(F.max_by(measure, "batch_id").alias(measure))
+
+
+def last_group(group: Sequence[str]) -> Resolve:
+    """Group replace: the latest batch that names a group sets all of its rows."""
+
+    def resolve(log: DataFrame) -> DataFrame:
+        latest = log.groupBy(*group).agg(F.max("batch_id").alias("batch_id"))
+        return log.join(latest, [*group, "batch_id"], "left_semi").drop("batch_id")
+
+    return resolve
+
+
+class BatchLog:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: StructType,
+        resolve: Resolve | None = None,
+        fold_every: int = 100,
+    ):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = schema
+        self.resolve = resolve
+        self.fold_every = fold_every
+        self._partition_by = ["date"] if "date" in schema.names else []
+        stored = [f for f in schema.fields if f.name not in self._partition_by]
+        self._stored = StructType([*stored])
+        for name in self._partition_by:
+            self._stored.add(name, StringType())
+        self._stored.add("batch_id", LongType()).add("entry", StringType())
+
+    def _fs(self, path: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+
+    def _entries(self) -> tuple[list[int], list[int]]:
+        """Ids of the batches and of the folds there are."""
+        fs, root = self._fs(self.path)
+        if not fs.exists(root):
+            return [], []
+        names = [status.getPath().getName() for status in fs.listStatus(root)]
+        ids = [n.removeprefix("entry=") for n in names if n.startswith("entry=")]
+        batches = sorted(int(i[1:]) for i in ids if i[0] == "b")
+        folds = sorted(int(i[1:]) for i in ids if i[0] == "f")
+        return batches, folds
+
+    def _commit(self, df: DataFrame, entry: str, batch_id: int) -> None:
+        fs, final = self._fs(f"{self.path}/entry={entry}")
+        if fs.exists(final):
+            return
+        _, aside = self._fs(f"{self.path}/_writing/{entry}")
+        rows = as_schema(df, self.schema).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows.write.mode("overwrite").partitionBy(*self._partition_by).parquet(aside.toString())
+        if not fs.rename(aside, final):
+            raise OSError(f"could not move {aside.toString()} to {final.toString()}")
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Store the rows of one micro-batch, unless an earlier try of it did."""
+        self._commit(df, f"b{batch_id}", batch_id)
+        if self.resolve is not None and (batch_id + 1) % self.fold_every == 0:
+            self._commit(self.table(through=batch_id), f"f{batch_id}", batch_id)
+
+    def _read(self, entries: Sequence[str]) -> DataFrame:
+        if not entries:
+            return self.spark.createDataFrame([], self._stored).drop("entry")
+        paths = [f"{self.path}/entry={e}" for e in entries]
+        reader = self.spark.read.schema(self._stored).option("basePath", self.path)
+        return reader.parquet(*paths).drop("entry")
+
+    def log(self, through: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
+        """Rows with their batch id, from the newest fold on; days not asked for are skipped."""
+        batches, folds = self._entries()
+        if through is not None:
+            batches = [b for b in batches if b <= through]
+            folds = [f for f in folds if f <= through]
+        start = folds[-1] if folds else -1
+        entries = [f"f{start}"] if folds else []
+        rows = self._read(entries + [f"b{b}" for b in batches if b > start])
+        if dates is not None and self._partition_by:
+            rows = rows.where(F.col("date").isin(list(dates)))
+        return rows
+
+    def table(self, through: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
+        """The table as it stands after batch ``through`` (after the last one if None)."""
+        rows = self.log(through, dates)
+        resolved = rows.drop("batch_id") if self.resolve is None else self.resolve(rows)
+        return as_schema(resolved, self.schema)
+
+    def batch(self, batch_id: int) -> DataFrame:
+        return as_schema(self._read([f"b{batch_id}"]), self.schema)
+
+    def dates(self, batch_id: int) -> list[str]:
+        """The days a batch has rows for: a handful, and known from folder names."""
+        fs, root = self._fs(f"{self.path}/entry=b{batch_id}")
+        names = [status.getPath().getName() for status in fs.listStatus(root)]
+        return sorted(n.removeprefix("date=") for n in names if n.startswith("date="))
+
+    def stream(self, batches_at_once: int | None = None) -> DataFrame:
+        """The rows as a stream, for a query that follows the one writing them."""
+        if self.resolve is not None:
+            raise ValueError("a table with upserts cannot be followed row by row")
+        fs, root = self._fs(self.path)
+        fs.mkdirs(root)
+        reader = self.spark.readStream.schema(self._stored)
+        if batches_at_once is not None:
+            reader = reader.option("maxFilesPerTrigger", batches_at_once)
+        return reader.parquet(self.path).select(*self.schema.names)
