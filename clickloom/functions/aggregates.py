@@ -12,5 +12,5 @@ def group_concat_distinct(c: Column | str, sep: str = ",") -> Column:
     Numbers sort as numbers. ``collect_set`` combines on the map side, so what is
     shuffled per group is its distinct values and not its rows.
     """
-    values = F.array_sort(F.collect_set(c))
+    values = F.sort_array(F.collect_set(c))
     return F.array_join(values.cast("array<string>"), sep)

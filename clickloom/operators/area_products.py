@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.aggregates import group_concat_distinct
 from clickloom.functions.labels import AREA_LEVELS, OTHER_AREA_LEVEL, area_level, product_status
 from clickloom.functions.strings import concat_long_string
-from clickloom.operators.skew import salted_count
+from clickloom.operators.skew import salted_partials
 from clickloom.sources.tables import broadcast_if_small
 
 
@@ -53,13 +53,14 @@ def area_product_counts(clicks: DataFrame, cities: DataFrame) -> DataFrame:
 def area_product_counts_salted(
     basic: DataFrame, row_columns: Sequence[str], n: int = 10
 ) -> DataFrame:
-    """The same from click rows with their city, hot groups spread over ``n`` salts."""
-    return salted_count(
-        basic,
-        ["area", "product_id"],
-        row_columns,
-        n,
-        distinct={"city_infos": _city_label()},
+    """The same from click rows with their city, hot groups spread over ``n`` salts.
+
+    The city is part of the salted group, so the list of cities is made from counts too.
+    """
+    keys = ["area", "product_id", "city_id", "city_name"]
+    partials = salted_partials(basic, keys, row_columns, n, count_name="n")
+    return partials.groupBy("area", "product_id").agg(
+        F.sum("n").alias("click_count"), group_concat_distinct(_city_label()).alias("city_infos")
     )
 
 

@@ -10,32 +10,29 @@ from pyspark.sql import functions as F
 from clickloom.functions.salting import salt
 
 
-def salted_count(
+def salted_partials(
     df: DataFrame,
     keys: Sequence[str],
     row_columns: Sequence[Column | str],
     n: int = 10,
     count_name: str = "click_count",
-    distinct: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Rows per group in two steps: per (group, salt), then per group.
+    """Rows per (group, salt): at most ``n`` counts per group, whatever its size.
 
-    ``row_columns`` tell rows of a group apart. ``distinct`` maps a column name to an
-    expression whose distinct values are joined per group, in ascending order. The
-    second step meets at most ``n`` rows per group, whatever the size of the group.
+    ``row_columns`` tell the rows of a group apart; they are all the salt is made of.
     """
-    distinct = distinct or {}
-    salted = df.withColumn("_salt", salt(n, *row_columns))
-    partial = salted.groupBy(*keys, "_salt").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.collect_set(c).alias(name) for name, c in distinct.items()],
-    )
-    return partial.groupBy(*keys).agg(
-        F.sum("_n").alias(count_name),
-        *[_joined_union(name).alias(name) for name in distinct],
-    )
-
-
-def _joined_union(sets: str) -> Column:
-    values = F.array_sort(F.array_distinct(F.flatten(F.collect_list(sets))))
-    return F.array_join(values.cast("array<string>"), ",")
+    salted = df.select(*keys, salt(n, *row_columns).alias("_salt"))
+    counts = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias(count_name))
+    return counts.drop("_salt")
+
+
+def salted_count(
+    df: DataFrame,
+    keys: Sequence[str],
+    row_columns: Sequence[Column | str],
+    n: int = 10,
+    count_name: str = "click_count",
+) -> DataFrame:
+    """Rows per group, counted per (group, salt) first and then added up."""
+    partials = salted_partials(df, keys, row_columns, n, count_name)
+    return partials.groupBy(*keys).agg(F.sum(count_name).alias(count_name))

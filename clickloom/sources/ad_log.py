@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from clickloom.functions.times import format_date
 
 
-def _field(i: int) -> Column:
-    return F.try_element_at(F.split("value", " "), F.lit(i))
+def _fields(lines: DataFrame) -> DataFrame:
+    parts = lines.select("value", F.split("value", " ").alias("parts"))
 
+    def field(i: int) -> Column:
+        return F.try_element_at("parts", F.lit(i))
 
-def _with_fields(lines: DataFrame) -> DataFrame:
-    return lines.select(
+    return parts.select(
         "value",
-        F.timestamp_millis(_field(1).try_cast("long")).alias("ts"),
-        _field(2).alias("province"),
-        _field(3).alias("city"),
-        _field(4).try_cast("long").alias("user_id"),
-        _field(5).try_cast("long").alias("ad_id"),
+        F.timestamp_millis(field(1).try_cast("long")).alias("ts"),
+        field(2).alias("province"),
+        field(3).alias("city"),
+        field(4).try_cast("long").alias("user_id"),
+        field(5).try_cast("long").alias("ad_id"),
     )
 
 
@@ -29,15 +30,20 @@ def _is_complete() -> Column:
 
 
 def parse_ad_log(lines: DataFrame) -> DataFrame:
-    """Typed clicks of the well-formed lines in column ``value``."""
-    clicks = _with_fields(lines).where(_is_complete())
+    """Typed clicks of the well-formed lines in column ``value``.
+
+    The test for well-formed lines is part of the row generator: as a filter it would be
+    pushed below the split and repeat it once for every field tested.
+    """
+    click = F.struct("ts", "province", "city", "user_id", "ad_id")
+    clicks = _fields(lines).select(F.inline(F.when(_is_complete(), F.array(click))))
     date = format_date("ts").alias("date")
     return clicks.select("ts", date, "province", "city", "user_id", "ad_id")
 
 
 def rejected_ad_log(lines: DataFrame) -> DataFrame:
     """The lines that :func:`parse_ad_log` leaves out, as they came."""
-    return _with_fields(lines).where(~_is_complete()).select("value")
+    return _fields(lines).where(~_is_complete()).select("value")
 
 
 def kafka_options(servers: str, topics: str, **more: str) -> dict[str, str]:

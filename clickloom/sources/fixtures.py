@@ -114,9 +114,7 @@ def timed_ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = provided(spark, sf_dir, "events")
     customer = provided(spark, sf_dir, "customer")
     nation = provided(spark, sf_dir, "nation")
-    millis = F.timestamp_diff(
-        "MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")
-    )
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
     ad = F.get_json_object("props", "$.k").cast("long") % 5
     joined = events.join(customer, events["user_id"] == customer["c_custkey"]).join(
         nation, F.col("c_nationkey") == nation["n_nationkey"]

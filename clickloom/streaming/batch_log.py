@@ -58,27 +58,26 @@ class BatchLog:
         self.schema = schema
         self.resolve = resolve
         self.fold_every = fold_every
-        self._partition_by = ["date"] if "date" in schema.names else []
-        stored = [f for f in schema.fields if f.name not in self._partition_by]
-        self._stored = StructType([*stored])
-        for name in self._partition_by:
-            self._stored.add(name, StringType())
-        self._stored.add("batch_id", LongType()).add("entry", StringType())
+        self._stored = StructType([*schema.fields]).add("batch_id", LongType())
+        self._listed = StructType([*self._stored.fields]).add("entry", StringType())
 
     def _fs(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
-    def _entries(self) -> tuple[list[int], list[int]]:
-        """Ids of the batches and of the folds there are."""
+    def _entries(self, through: int | None) -> list[str]:
+        """The newest fold up to batch ``through``, and the batches after it."""
         fs, root = self._fs(self.path)
         if not fs.exists(root):
-            return [], []
+            return []
         names = [status.getPath().getName() for status in fs.listStatus(root)]
-        ids = [n.removeprefix("entry=") for n in names if n.startswith("entry=")]
-        batches = sorted(int(i[1:]) for i in ids if i[0] == "b")
-        folds = sorted(int(i[1:]) for i in ids if i[0] == "f")
-        return batches, folds
+        entries = [n.removeprefix("entry=") for n in names if n.startswith("entry=")]
+        ids = [(e[0], int(e[1:])) for e in entries]
+        if through is not None:
+            ids = [(kind, n) for kind, n in ids if n <= through]
+        start = max((n for kind, n in ids if kind == "f"), default=None)
+        batches = sorted(n for kind, n in ids if kind == "b" and (start is None or n > start))
+        return ([] if start is None else [f"f{start}"]) + [f"b{n}" for n in batches]
 
     def _commit(self, df: DataFrame, entry: str, batch_id: int) -> None:
         fs, final = self._fs(f"{self.path}/entry={entry}")
@@ -86,7 +85,7 @@ class BatchLog:
             return
         _, aside = self._fs(f"{self.path}/_writing/{entry}")
         rows = as_schema(df, self.schema).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        rows.write.mode("overwrite").partitionBy(*self._partition_by).parquet(aside.toString())
+        rows.write.mode("overwrite").parquet(aside.toString())
         if not fs.rename(aside, final):
             raise OSError(f"could not move {aside.toString()} to {final.toString()}")
 
@@ -94,50 +93,48 @@ class BatchLog:
         """Store the rows of one micro-batch, unless an earlier try of it did."""
         self._commit(df, f"b{batch_id}", batch_id)
         if self.resolve is not None and (batch_id + 1) % self.fold_every == 0:
-            self._commit(self.table(through=batch_id), f"f{batch_id}", batch_id)
+            table = self.table(through=batch_id)
+            if "date" in self.schema.names:
+                # Days that are not asked for are then skipped by row-group statistics.
+                table = table.sortWithinPartitions("date")
+            self._commit(table, f"f{batch_id}", batch_id)
 
     def _read(self, entries: Sequence[str]) -> DataFrame:
         if not entries:
-            return self.spark.createDataFrame([], self._stored).drop("entry")
+            return self.spark.createDataFrame([], self._stored)
         paths = [f"{self.path}/entry={e}" for e in entries]
-        reader = self.spark.read.schema(self._stored).option("basePath", self.path)
-        return reader.parquet(*paths).drop("entry")
-
-    def log(self, through: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
-        """Rows with their batch id, from the newest fold on; days not asked for are skipped."""
-        batches, folds = self._entries()
-        if through is not None:
-            batches = [b for b in batches if b <= through]
-            folds = [f for f in folds if f <= through]
-        start = folds[-1] if folds else -1
-        entries = [f"f{start}"] if folds else []
-        rows = self._read(entries + [f"b{b}" for b in batches if b > start])
-        if dates is not None and self._partition_by:
-            rows = rows.where(F.col("date").isin(list(dates)))
-        return rows
-
-    def table(self, through: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
+        return self.spark.read.schema(self._stored).parquet(*paths)
+
+    def log(
+        self, through: int | None = None, days: tuple[str, str] | None = None
+    ) -> DataFrame:
+        """Rows with their batch id, from the newest fold on; of ``days`` only, if given."""
+        rows = self._read(self._entries(through))
+        return rows if days is None else rows.where(F.col("date").between(*days))
+
+    def table(
+        self, through: int | None = None, days: tuple[str, str] | None = None
+    ) -> DataFrame:
         """The table as it stands after batch ``through`` (after the last one if None)."""
-        rows = self.log(through, dates)
+        rows = self.log(through, days)
         resolved = rows.drop("batch_id") if self.resolve is None else self.resolve(rows)
         return as_schema(resolved, self.schema)
 
     def batch(self, batch_id: int) -> DataFrame:
         return as_schema(self._read([f"b{batch_id}"]), self.schema)
 
-    def dates(self, batch_id: int) -> list[str]:
-        """The days a batch has rows for: a handful, and known from folder names."""
-        fs, root = self._fs(f"{self.path}/entry=b{batch_id}")
-        names = [status.getPath().getName() for status in fs.listStatus(root)]
-        return sorted(n.removeprefix("date=") for n in names if n.startswith("date="))
+    def days(self, batch_id: int) -> tuple[str, str] | None:
+        """First and last day of a batch; None if it has no rows."""
+        row = self.batch(batch_id).agg(F.min("date"), F.max("date")).first()
+        return None if row[0] is None else (row[0], row[1])
 
-    def stream(self, batches_at_once: int | None = None) -> DataFrame:
+    def stream(self, files_at_once: int | None = None) -> DataFrame:
         """The rows as a stream, for a query that follows the one writing them."""
         if self.resolve is not None:
             raise ValueError("a table with upserts cannot be followed row by row")
         fs, root = self._fs(self.path)
         fs.mkdirs(root)
-        reader = self.spark.readStream.schema(self._stored)
-        if batches_at_once is not None:
-            reader = reader.option("maxFilesPerTrigger", batches_at_once)
+        reader = self.spark.readStream.schema(self._listed)
+        if files_at_once is not None:
+            reader = reader.option("maxFilesPerTrigger", files_at_once)
         return reader.parquet(self.path).select(*self.schema.names)
