@@ -45,7 +45,8 @@ def random_extract(
     """Draw sessions without repeats, by hash order: the same seed gives the same sample.
 
     No hour can get more than ``total``, and that fixed bound lets each task keep only
-    its first ``total`` rows of an hour before anything is shuffled.
+    its first ``total`` rows of an hour before anything is shuffled (for totals up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default).
     """
     order = [F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.col("session_id")]
     in_hour = Window.partitionBy("date", "hour").orderBy(*order)

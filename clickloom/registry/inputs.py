@@ -8,7 +8,7 @@ FIRST_DAY, LAST_DAY = "2024-01-05", "2024-01-10"
 CLICK_START, CLICK_END = "1996-01-01", "1997-12-31"
 FLOW = "1,2,3,4,5"
 TASK_ID = 7
-SAMPLE_SIZE = 3000
+SAMPLE_SIZE = 1000
 BLACKLIST_CLICKS = 3
 LISTED_UNTIL = "2024-01-03"
 SESSION_PARAMS = TaskParams(TASK_ID, start_age=20, end_age=50, sex="male", keywords="kw1,kw2")
