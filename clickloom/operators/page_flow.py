@@ -24,18 +24,19 @@ def _pairs(flow: str) -> list[str]:
     return [f"{a}_{b}" for a, b in zip(pages, pages[1:])]
 
 
-def page_steps(actions: DataFrame, slice_format: str = "yyyyMMddHH") -> DataFrame:
+def page_steps(actions: DataFrame, slice_unit: str = "HOUR") -> DataFrame:
     """Each action with the next page of its session, in time order; last ones drop out.
 
     A session is not sorted as one group: it is cut into time slices, steps inside a
     slice come from a window over (session, slice), and the steps between slices from
     a second window over the first and last action of each slice. So one endless
     session spreads over as many tasks as it has slices, and the result is exact for
-    any ``slice_format``. Equal times are ordered by page.
+    any unit of ``date_trunc``: take a finer one where one session fills whole hours.
+    Equal times are ordered by page.
     """
     ts = parse_time("action_time")
     visits = actions.select("session_id", "page_id", ts.alias("ts"))
-    visits = visits.withColumn("slice", F.date_format("ts", slice_format))
+    visits = visits.withColumn("slice", F.date_trunc(slice_unit, "ts"))
     in_slice = Window.partitionBy("session_id", "slice").orderBy("ts", "page_id")
     placed = visits.select(
         "session_id",

@@ -26,14 +26,14 @@ def hourly_quotas(sessions: DataFrame, total: int) -> DataFrame:
     """
     hours = sessions_per_hour(sessions)
     day = Window.partitionBy("date")
-    days = F.size(F.collect_set("date").over(Window.partitionBy(F.lit(0))))
+    first_of_day = F.row_number().over(day.orderBy("hour")) == 1
     sized = hours.select(
         "date",
         "hour",
         "session_count",
         F.sum("session_count").over(day).alias("day_count"),
-        days.alias("days"),
-    )
+        first_of_day.cast("long").alias("new_day"),
+    ).withColumn("days", F.sum("new_day").over(Window.partitionBy(F.lit(0))))
     share = F.col("session_count").cast("double") / F.col("day_count").cast("double")
     quota = (share * F.expr(f"{int(total)} DIV days")).cast("long")
     return sized.select("date", "hour", F.least(quota, "session_count").alias("quota"))

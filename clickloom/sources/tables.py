@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from clickloom.schemas import as_schema
 
 # A broadcast copy sits in every executor; files unpack to several times their size.
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -1,8 +1,8 @@
 """Result tables of a stream: one folder of Parquet files per micro-batch.
 
 A micro-batch may be delivered again after a failure. Its folder is written aside and
-renamed once complete, and a batch whose folder is there is not written again; what a
-batch reads is limited to batches before it. So a repeated batch changes nothing, and
+renamed once complete, and a folder that is there is never replaced; what a batch
+reads is limited to batches before it. So a repeated batch changes nothing, and
 a stream that reads the folders sees each file once. (The rename must be atomic, as it
 is on HDFS and local disks.)
 
@@ -81,16 +81,20 @@ class BatchLog:
 
     def _commit(self, df: DataFrame, entry: str, batch_id: int) -> None:
         fs, final = self._fs(f"{self.path}/entry={entry}")
-        if fs.exists(final):
-            return
         _, aside = self._fs(f"{self.path}/_writing/{entry}")
         rows = as_schema(df, self.schema).withColumn("batch_id", F.lit(batch_id).cast("long"))
         rows.write.mode("overwrite").parquet(aside.toString())
-        if not fs.rename(aside, final):
+        if fs.exists(final):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, final):
             raise OSError(f"could not move {aside.toString()} to {final.toString()}")
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        """Store the rows of one micro-batch, unless an earlier try of it did."""
+        """Store the rows of one micro-batch; what an earlier try has stored stays.
+
+        The rows are computed in any case: on a stream with state that is what takes the
+        state and the watermark forward.
+        """
         self._commit(df, f"b{batch_id}", batch_id)
         if self.resolve is not None and (batch_id + 1) % self.fold_every == 0:
             table = self.table(through=batch_id)

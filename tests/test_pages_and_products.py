@@ -23,7 +23,7 @@ def test_steps_follow_time_and_not_arrival(actions):
     assert steps == [(1, 2), (2, 3)]
 
 
-@pytest.mark.parametrize("slices", ["yyyyMMddHH", "yyyyMMdd", "yyyyMMddHHmmss", "yyyy"])
+@pytest.mark.parametrize("slices", ["HOUR", "DAY", "SECOND", "YEAR"])
 def test_steps_are_the_same_for_any_slice(actions, slices):
     rng = random.Random(3)
     data = {
