@@ -81,10 +81,11 @@ def sliding_ad_trend(clicks: DataFrame, length_seconds: int, slide_seconds: int)
     """Clicks per ad in windows of ``length``, one starting every ``slide``.
 
     Where the length is a whole number of slides, clicks are counted per slide first
-    and only those counts are repeated for the windows they fall into.
+    and only those counts are repeated for the windows they fall into. A stream, which
+    can hold the state of one aggregate here, repeats the clicks.
     """
     slide = f"{slide_seconds} seconds"
-    if length_seconds % slide_seconds:
+    if clicks.isStreaming or length_seconds % slide_seconds:
         window = F.window("ts", f"{length_seconds} seconds", slide)
         counted = clicks.groupBy(window, "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
         start, end = F.col("window.start"), F.col("window.end")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.functions.numbers import format_double, ratio
 from clickloom.functions.strings import flow_pairs
 from clickloom.functions.times import parse_time
 
@@ -104,7 +105,7 @@ def page_convert_rates(actions: DataFrame, flow: str, scale: int = 2) -> DataFra
         for i, pair in enumerate(pairs)
     ]
     steps = views.select(F.inline(F.array(*rows)))
-    rate = F.round(F.try_divide(F.col("pv").cast("double"), F.col("from_pv").cast("double")), scale)
+    rate = format_double(ratio("pv", "from_pv"), scale)
     return steps.select("idx", "page_split", rate.alias("convert_rate"))
 
 

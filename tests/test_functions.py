@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.functions import aggregates, labels, predicates, salting, strings, times
+from clickloom.functions import aggregates, labels, numbers, predicates, salting, strings, times
 from clickloom.functions.sql_functions import register_sql_functions
 
 
@@ -160,3 +160,9 @@ def test_sql_functions(spark):
            join_sorted(collect_set(c), ',') FROM VALUES ('b'), ('a'), ('b') t(c)"""
     ).head()
     assert tuple(row) == ("1:Rome", "2", "a_b", "a,b")
+
+
+def test_rounding_is_half_up_and_ratio_over_zero_is_null(spark):
+    df = spark.createDataFrame([(0.125, 0.375, -0.125)], "a double, b double, c double")
+    got = df.select(*[numbers.format_double(c, 2) for c in "abc"], numbers.ratio("a", F.lit(0))).head()
+    assert tuple(got) == (0.13, 0.38, -0.13, None)

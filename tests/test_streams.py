@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.operators import ad_stats
+from clickloom.plans.ad_job import start_ad_job
 from clickloom.sources.ad_log import file_lines, parse_ad_log
 from clickloom.streaming import ad_streams
 from clickloom.streaming.batch_log import BatchLog, last_by_key, last_group, sum_by_key
@@ -181,3 +182,31 @@ def test_group_replace_and_sums_survive_folds(spark, tmp_path):
     assert _rows(count.table(through=2))[1] == ("d", 1, 1, 30)
     with pytest.raises(ValueError):
         count.stream()
+
+
+def test_whole_job_runs_on_its_default_trigger(spark, tmp_path):
+    lines = _log(60)
+    _files(tmp_path / "in", lines + ["broken"], 2)
+    tables = _tables(spark, tmp_path)
+    queries = start_ad_job(file_lines(spark, str(tmp_path / "in"), 1), tables, 1000)
+    try:
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    clicks = _batch_clicks(spark, lines)
+    assert _rows(tables.stat.table()) == _rows(ad_stats.ad_stat(clicks))
+    assert _rows(tables.trend.table()) == _rows(ad_stats.ad_click_trend(clicks))
+    assert _rows(tables.rejected.table()) == [("broken",)]
+
+
+def test_sliding_windows_on_a_stream(spark, tmp_path):
+    lines = _log(40)
+    _files(tmp_path / "in", lines, 3)
+    clicks = parse_ad_log(file_lines(spark, str(tmp_path / "in"), 1))
+    windows = ad_stats.sliding_ad_trend(clicks, 3600, 1200)
+    writer = windows.writeStream.outputMode("complete").format("memory").queryName("sliding_test")
+    writer.option("checkpointLocation", str(tmp_path / "c")).trigger(**NOW).start().awaitTermination()
+    batch = ad_stats.sliding_ad_trend(_batch_clicks(spark, lines), 3600, 1200)
+    assert _rows(spark.table("sliding_test")) == _rows(batch)
