@@ -37,7 +37,7 @@ def comma_list(c: Column | str) -> Column:
 
 def comma_longs(c: Column | str) -> Column:
     """Comma-joined ids as an array of longs; items that are no number become null."""
-    return F.transform(comma_list(c), lambda x: F.trim(x).try_cast("long"))
+    return comma_list(c).try_cast("array<bigint>")
 
 
 def packed_get(c: Column | str, field: str, delimiter: str = "|") -> Column:

@@ -50,12 +50,9 @@ def _list_counts(actions: DataFrame, lists: str, count_name: str) -> DataFrame:
 
 
 def _tagged(kind: str, ids: Column) -> Column:
-    none = F.array().cast("array<bigint>")
-    tagged = F.transform(
-        F.array_compact(F.coalesce(ids, none)),
-        lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("category_id")),
-    )
-    return tagged
+    ids = F.coalesce(ids, F.array().cast("array<bigint>"))
+    kinds = F.array_repeat(F.lit(kind), F.size(ids))
+    return F.arrays_zip(kinds.alias("kind"), ids.alias("category_id"))
 
 
 def _category_uses(actions: DataFrame) -> DataFrame:
@@ -65,7 +62,7 @@ def _category_uses(actions: DataFrame) -> DataFrame:
         _tagged("order", comma_longs("order_category_ids")),
         _tagged("pay", comma_longs("pay_category_ids")),
     )
-    return actions.select(F.inline(uses))
+    return actions.select(F.inline(uses)).where(F.col("category_id").isNotNull())
 
 
 def visited_categories(actions: DataFrame) -> DataFrame:
