@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import format_time, minute_parts
+from clickloom.operators.skew import key_copy
 
 BLACKLIST_THRESHOLD = 100
 USER_AD_KEYS = ["date", "user_id", "ad_id"]
@@ -17,7 +18,8 @@ def without_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     The list is broadcast while it is small; beyond that the join shuffles and a user
     with very many clicks is split at run time.
     """
-    return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
+    listed = blacklist.select(key_copy("user_id").alias("_listed"))
+    return clicks.join(listed, clicks["user_id"] == listed["_listed"], "left_anti")
 
 
 def daily_user_ad_clicks(clicks: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from clickloom.functions.labels import (
 )
 from clickloom.functions.predicates import any_of, equals, in_range
 from clickloom.functions.times import format_time, parse_time
+from clickloom.operators.skew import key_copy
 from clickloom.sources.tables import broadcast_if_small
 from clickloom.sources.tasks import TaskParams
 
@@ -122,14 +123,7 @@ def _histogram(sessions: DataFrame, bucket) -> DataFrame:
 
 
 def session_details(sessions: DataFrame, actions: DataFrame) -> DataFrame:
-    """The action rows of the given sessions.
-
-    A session may own a large share of all actions. The aggregate that made
-    ``sessions`` leaves them partitioned by id, and a join on that same column would
-    start from it, which keeps run-time skew handling away. Joining on a derived copy
-    of the id makes both sides plain shuffle stages: the oversized partition of
-    actions is then split and the (one-row-per-session) other side repeated.
-    """
-    ids = sessions.select(F.concat("session_id", F.lit("")).alias("_session"))
+    """The action rows of the given sessions, of which one may own a large share."""
+    ids = sessions.select(key_copy("session_id").alias("_session"))
     joined = actions.join(ids, actions["session_id"] == ids["_session"])
     return joined.select(*DETAIL_COLUMNS)

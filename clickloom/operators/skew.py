@@ -1,4 +1,4 @@
-"""Counting with salted groups."""
+"""Counting and joining with hot keys."""
 
 from __future__ import annotations
 
@@ -36,3 +36,15 @@ def salted_count(
     """Rows per group, counted per (group, salt) first and then added up."""
     partials = salted_partials(df, keys, row_columns, n, count_name)
     return partials.groupBy(*keys).agg(F.sum(count_name).alias(count_name))
+
+
+def key_copy(c: str) -> Column:
+    """The value of a key column as an expression of its own, to join a large table on.
+
+    A side that has been aggregated by its key is partitioned by it already, and a join
+    on that column starts from there. Run-time skew handling then stays away, since it
+    splits a partition only where both sides are plain shuffle stages. A join on a copy
+    shuffles the aggregated side again, which is small, and lets a hot key of the large
+    side be split over many tasks.
+    """
+    return F.greatest(c, c)

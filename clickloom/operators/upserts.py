@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.operators.skew import key_copy
+
 
 def upsert_add(
     target: DataFrame, delta: DataFrame, keys: Sequence[str], measure: str = "click_count"
@@ -29,7 +31,10 @@ def upsert_replace(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 def replace_group(target: DataFrame, source: DataFrame, group: Sequence[str]) -> DataFrame:
     """Every group that ``source`` has rows for is replaced as a whole."""
-    kept = target.join(source.select(*group).distinct(), list(group), "left_anti")
+    groups = source.select(*group).distinct()
+    copies = groups.select(*[key_copy(c).alias(f"_{c}") for c in group])
+    same = [target[c] == copies[f"_{c}"] for c in group]
+    kept = target.join(copies, same, "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 

@@ -117,8 +117,7 @@ def start_dynamic_blacklist(
         tables.user_click_count.write(counts, batch_id)
 
         touched = tables.user_click_count.batch(batch_id)
-        days = tables.user_click_count.days(batch_id)
-        recorded = tables.user_click_count.table(through=batch_id, days=days)
+        recorded = tables.user_click_count.table_on_days_of(batch_id)
         totals = click_count_lookup(touched, recorded)
         over = users_over_threshold(totals, threshold)
         tables.blacklist.write(append_new(listed, over, ["user_id"]), batch_id)
@@ -154,7 +153,7 @@ def start_ad_stat(
     def on_batch(changed: DataFrame, batch_id: int) -> None:
         tables.stat.write(changed, batch_id)
         groups = tables.stat.batch(batch_id).select("date", "province").distinct()
-        stat = tables.stat.table(through=batch_id, days=tables.stat.days(batch_id))
+        stat = tables.stat.table_on_days_of(batch_id)
         in_groups = stat.join(groups, ["date", "province"], "left_semi")
         tables.province_top3.write(province_top_ads(province_ad_clicks(in_groups), k), batch_id)
 

@@ -132,6 +132,13 @@ class BatchLog:
         row = self.batch(batch_id).agg(F.min("date"), F.max("date")).first()
         return None if row[0] is None else (row[0], row[1])
 
+    def table_on_days_of(self, batch_id: int) -> DataFrame:
+        """The table after a batch, restricted to the days from its first to its last."""
+        days = self.days(batch_id)
+        if days is None:
+            return self.batch(batch_id)
+        return self.table(through=batch_id, days=days)
+
     def stream(self, files_at_once: int | None = None) -> DataFrame:
         """The rows as a stream, for a query that follows the one writing them."""
         if self.resolve is not None:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom import schemas
-from clickloom.operators import area_products, sampling, sessions
+from clickloom.operators import ad_stats, area_products, sampling, sessions, upserts
 from clickloom.plans.area_job import run_area_job
 from clickloom.plans.page_job import run_page_job
 from clickloom.plans.session_job import run_session_job
@@ -162,7 +162,9 @@ def test_rank_limits_rows_before_the_shuffle(spark):
     assert _plan(sampling.random_extract(some, 1)).count("WindowGroupLimit") == 2
 
 
-def test_hot_session_is_split_at_run_time(spark, tmp_path):
+@pytest.fixture
+def only_skewed_shuffle_joins(spark):
+    """No broadcasts, and thresholds at which a third of 40000 rows counts as skew."""
     keys = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -173,23 +175,46 @@ def test_hot_session_is_split_at_run_time(spark, tmp_path):
     before = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
-    try:
-        schema = schemas.USER_VISIT_ACTION
-        rows = spark.range(0, 40000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("session_id"),
-            F.col("id").alias("page_id"), F.lit("2024-01-01 10:00:00").alias("action_time"))
-        path = str(tmp_path / "a")
-        rows.select(*[
-            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields]).write.parquet(path)
-        actions = spark.read.parquet(path)
-        details = sessions.session_details(sessions.aggregate_sessions(actions), actions)
-        # A row count would drop the columns that make the partition large.
-        details.write.format("noop").mode("overwrite").save()
-        assert details.distinct().count() == 40000
-        ran = details.collect()
-        assert len(ran) == 40000
-        assert "skew=true" in _plan(details)
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _a_third_is_one_key(spark, tmp_path, key, hot, schema, **values):
+    rows = spark.range(0, 40000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id")).alias(key),
+        *[v.alias(n) for n, v in values.items()])
+    full = rows.select(*[
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields])
+    full.write.parquet(str(tmp_path / "rows"))
+    return spark.read.parquet(str(tmp_path / "rows"))
+
+
+def test_hot_session_is_split_at_run_time(spark, tmp_path, only_skewed_shuffle_joins):
+    actions = _a_third_is_one_key(
+        spark, tmp_path, "session_id", -1, schemas.USER_VISIT_ACTION,
+        page_id=F.col("id"), action_time=F.lit("2024-01-01 10:00:00"))
+    details = sessions.session_details(sessions.aggregate_sessions(actions), actions)
+    assert len(details.collect()) == 40000
+    assert "skew=true" in _plan(details)
+
+
+def test_hot_user_is_split_at_run_time(spark, tmp_path, only_skewed_shuffle_joins):
+    clicks = _a_third_is_one_key(
+        spark, tmp_path, "user_id", -1, schemas.AD_CLICK,
+        ts=F.timestamp_seconds("id"), ad_id=F.col("id"), date=F.lit("d"))
+    listed = ad_stats.users_over_threshold(
+        spark.range(1000).selectExpr("id * 3 + 1 user_id", "100L click_count"))
+    kept = ad_stats.without_blacklisted(clicks, listed)
+    assert len(kept.collect()) == 39000
+    assert "skew=true" in _plan(kept)
+
+
+def test_hot_group_is_split_at_run_time(spark, tmp_path, only_skewed_shuffle_joins):
+    target = _a_third_is_one_key(
+        spark, tmp_path, "date", -1, schemas.AD_PROVINCE_TOP3, ad_id=F.col("id"), click_count=F.col("id"))
+    source = spark.createDataFrame([("1", "P", 1, 1), ("1", "P", 2, 1)], schemas.AD_PROVINCE_TOP3)
+    replaced = upserts.replace_group(target, source, ["date"])
+    assert len(replaced.collect()) == 40001
+    assert "skew=true" in _plan(replaced)

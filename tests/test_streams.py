@@ -159,6 +159,9 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     assert _rows(log.table(through=0)) == [("2024-01-01", "P", "C", 1, 3)]
     assert log.table(days=("2024-01-02", "2024-01-03")).count() == 0
     assert log.days(1) == ("2024-01-01", "2024-01-01")
+    log.write(stat(1).where("false"), 2)
+    assert log.days(2) is None and log.table_on_days_of(2).count() == 0
+    assert _rows(log.table_on_days_of(1)) == _rows(log.table())
 
 
 def test_batch_left_half_written_is_written_again(spark, tmp_path):
