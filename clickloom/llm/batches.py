@@ -38,6 +38,14 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     return pc.fill_null(batch[column].cast(pa.large_string()), "")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` below the folder the cluster shares and read it again.
 

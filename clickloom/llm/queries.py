@@ -8,11 +8,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickloom.llm.batches import work_folder
+from clickloom.llm.chat_windows import chat_windows, read_digest
+from clickloom.llm.decontaminate import hit_report, with_hits
 from clickloom.llm.id_planes import read_token_planes, write_token_planes
+from clickloom.llm.line_dedup import with_line_spread
+from clickloom.llm.quality_rules import with_quality
 from clickloom.llm.token_counts import token_counts
 
 BYTE_BPE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
 def _table(spark, sf, name):
@@ -31,9 +36,35 @@ def _token_counts(spark, sf):
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def _line_dedup(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "source")
+    return with_line_spread(docs).select("doc_id", "_lines.*", "text")
+
+
+def _benchmark_hits(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return hit_report(with_hits(docs, _table(spark, sf, "benchmark"), keep=["doc_id"]))
+
+
+def _quality_rules(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
+    return with_quality(docs).select("doc_id", "_quality.*")
+
+
+def _chat_windows(spark, sf):
+    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    added = [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
+    turns = turns.unionByName(spark.createDataFrame(added, turns.schema))
+    return read_digest(chat_windows(turns))
+
+
 QUERIES = {
     "op1_token_id_planes": _token_id_planes,
     "op2_token_counts": _token_counts,
+    "op6_line_dedup": _line_dedup,
+    "op7_benchmark_hits": _benchmark_hits,
+    "op8_quality_rules": _quality_rules,
+    "op10_chat_windows": _chat_windows,
 }
 
 ORACLES: dict[str, str] = {}
