@@ -12,11 +12,13 @@ from clickloom.llm.chat_windows import chat_windows, read_digest
 from clickloom.llm.decontaminate import hit_report, with_hits
 from clickloom.llm.id_planes import read_token_planes, write_token_planes
 from clickloom.llm.line_dedup import with_line_spread
+from clickloom.llm.near_dedup import near_duplicates
 from clickloom.llm.quality_rules import with_quality
 from clickloom.llm.token_counts import token_counts
 
 BYTE_BPE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+NEAR_WORDS = 4
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -51,6 +53,10 @@ def _quality_rules(spark, sf):
     return with_quality(docs).select("doc_id", "_quality.*")
 
 
+def _near_duplicates(spark, sf):
+    return near_duplicates(_table(spark, sf, "documents"), NEAR_WORDS)
+
+
 def _chat_windows(spark, sf):
     turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     added = [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
@@ -64,6 +70,7 @@ QUERIES = {
     "op6_line_dedup": _line_dedup,
     "op7_benchmark_hits": _benchmark_hits,
     "op8_quality_rules": _quality_rules,
+    "op9_near_duplicates": _near_duplicates,
     "op10_chat_windows": _chat_windows,
 }
 
