@@ -25,6 +25,8 @@ from clickloom.llm.tokens import encoder, tokenizer_path
 
 BLOCK_IDS = 16_384
 CHUNK_IDS = 8 * BLOCK_IDS
+# A row of 16 bytes for each task that wrote; beyond this many they join by shuffle.
+BROADCAST_SHARDS = 1_000_000
 PLANES = {"byte": 4, "bit": 32}
 CHUNKS = """shard int, chunk int, shard_start long, n_ids long, planes string,
     block_ids int, doc_ids array<long>, doc_lengths array<long>,
@@ -92,6 +94,8 @@ def read_token_planes(spark: SparkSession, path: str) -> DataFrame:
     starts = totals.select(
         "shard", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before")
     )
+    if starts.count() <= BROADCAST_SHARDS:
+        starts = F.broadcast(starts)
     decoded = chunks.mapInArrow(_read, "shard int, doc_id long, local long, n_tokens long, ids binary")
     return decoded.join(starts, "shard").select(
         "doc_id", (F.col("before") + F.col("local")).alias("start"), "n_tokens", "ids"

@@ -1,10 +1,10 @@
 """Token ids of whole texts by a public tokenizer, each distinct piece of text encoded once.
 
 A byte-level tokenizer never lets a token cross the border between a visible character and
-a single space before another visible character. Texts are therefore cut at those borders,
-the distinct units of a batch are encoded together, and their ids are put back in place.
-The result equals that of encoding the whole text. Texts with other runs of white space,
-and tokenizers of another kind, are encoded whole.
+a space or line end after it. Texts are cut at those borders, so that a unit is a run of
+white space with the word after it. The distinct units of a batch are encoded together, and
+their ids are put back in place. The result equals that of encoding the whole text.
+Tokenizers of another kind encode texts whole.
 """
 
 from __future__ import annotations
@@ -17,11 +17,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# White space of any kind beside a space: no border may be set there. Fixed values.
-UNSAFE_BORDER = (
-    r"( [\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
-    r"|([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] )"
+# A border: what nobody takes for white space, then a space or line end. Fixed values.
+BORDER = (
+    r"([^\s\x00\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}])([ \n])"
 )
+MARK = "\0"
+JOINED_UNITS = 128
 MEMO_UNITS = 200_000
 
 
@@ -56,7 +58,8 @@ class Encoder:
             self._encode = lambda texts: [
                 e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             ]
-            self._cuts = _cuts_at_spaces(path)
+            self._stop = _separator(path)
+            self._cuts = self._stop is not None
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -68,18 +71,18 @@ class Encoder:
             ids = self._encode(texts.to_pylist())
             counts = np.fromiter(map(len, ids), np.int64, len(ids))
             return _joined([np.asarray(i, "<u4").tobytes() for i in ids]), counts
-        whole = pc.match_substring_regex(texts, UNSAFE_BORDER)
-        units = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        whole = pc.match_substring(texts, MARK)
+        marked = pc.if_else(whole, "", pc.replace_substring_regex(texts, BORDER, r"\1" + MARK + r"\2"))
+        units = pc.split_pattern(marked, MARK)
         coded = units.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         first = units.offsets.to_numpy()[:-1] - units.offsets.to_numpy()[0]
-        heads = pc.if_else(whole, texts, pc.list_element(units, 0)).to_pylist()
-        codes[first] = len(words) + np.arange(len(texts))
-        used = np.zeros(len(words), bool)
-        used[codes[codes < len(words)]] = True
-        pieces = self._units([w if u else None for w, u in zip(words, used)])
-        pieces += [np.asarray(i, "<u4").tobytes() for i in self._encode(heads)]
+        pieces = self._units(coded.dictionary.to_pylist())
+        odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if len(odd):
+            codes[first[odd]] = len(pieces) + np.arange(len(odd))
+            texts = texts.take(pa.array(odd)).to_pylist()
+            pieces += [np.asarray(i, "<u4").tobytes() for i in self._encode(texts)]
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
         starts = np.cumsum(lengths) - lengths
         each = lengths[codes]
@@ -88,21 +91,30 @@ class Encoder:
         ids = flat[np.repeat(starts[codes] - before, each) + np.arange(each.sum())]
         return ids, np.add.reduceat(each, first)
 
-    def _units(self, words: list[str | None]) -> list[bytes]:
-        """Ids of each word with a space before it; none for those that are not used."""
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit, from memory or encoded together."""
         young, old = self._young, self._old
         new = []
-        for w in words:
-            if w is not None and w not in young:
-                if w in old:
-                    young[w] = old[w]
+        for u in units:
+            if u not in young:
+                if u in old:
+                    young[u] = old[u]
                 else:
-                    new.append(w)
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for w, ids in zip(part, self._encode([" " + w for w in part])):
-                young[w] = np.asarray(ids, "<u4").tobytes()
-        found = [b"" if w is None else young[w] for w in words]
+                    new.append(u)
+        stop, stop_id = self._stop
+        alone = [u for u in new if stop in u]
+        for u, ids in zip(alone, self._encode(alone)):
+            young[u] = np.asarray(ids, "<u4").tobytes()
+        new = [u for u in new if stop not in u] if alone else new
+        groups = [new[at : at + JOINED_UNITS] for at in range(0, len(new), JOINED_UNITS)]
+        for group, ids in zip(groups, self._encode([stop.join(g) for g in groups])):
+            row = np.asarray(ids, "<u4")
+            ends = [*np.flatnonzero(row == stop_id).tolist(), len(row)]
+            raw, at = row.tobytes(), 0
+            for u, end in zip(group, ends, strict=True):
+                young[u] = raw[4 * at : 4 * end]
+                at = end + 1
+        found = [young[u] for u in units]
         if len(young) > MEMO_UNITS:
             self._old, self._young = young, {}
         return found
@@ -118,18 +130,23 @@ def _joined(pieces: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(pieces), "<u4")
 
 
-def _cuts_at_spaces(path: str) -> bool:
-    """Whether borders at single spaces are safe for this tokenizer."""
+def _separator(path: str) -> tuple[str, int] | None:
+    """A special token that splits a text before it is encoded, and its id.
+
+    None where borders before white space are not known to be safe for the tokenizer.
+    """
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
     before = model.get("pre_tokenizer") or {}
-    return (
+    added = model.get("added_tokens", [])
+    safe = (
         model.get("normalizer") is None
         and before.get("type") == "ByteLevel"
         and before.get("use_regex", True)
         and not before.get("add_prefix_space")
         and not any(
-            t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"]
-            for t in model.get("added_tokens", [])
+            t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]]
+            for t in added
         )
     )
+    return next(((t["content"], t["id"]) for t in added if t["special"]), None) if safe else None
