@@ -13,6 +13,7 @@ from clickloom.llm.decontaminate import hit_report, with_hits
 from clickloom.llm.id_planes import read_token_planes, write_token_planes
 from clickloom.llm.line_dedup import with_line_spread
 from clickloom.llm.near_dedup import near_duplicates
+from clickloom.llm.packing import packed_documents
 from clickloom.llm.quality_rules import with_quality
 from clickloom.llm.token_counts import token_counts
 
@@ -38,6 +39,10 @@ def _token_counts(spark, sf):
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def _packing(spark, sf):
+    return packed_documents(_table(spark, sf, "documents"), BYTE_BPE, end_id=0)
+
+
 def _line_dedup(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text", "source")
     return with_line_spread(docs).select("doc_id", "_lines.*", "text")
@@ -67,6 +72,7 @@ def _chat_windows(spark, sf):
 QUERIES = {
     "op1_token_id_planes": _token_id_planes,
     "op2_token_counts": _token_counts,
+    "op4_packing": _packing,
     "op6_line_dedup": _line_dedup,
     "op7_benchmark_hits": _benchmark_hits,
     "op8_quality_rules": _quality_rules,
