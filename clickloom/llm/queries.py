@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from clickloom.llm.batches import work_folder
 from clickloom.llm.chat_windows import chat_windows, read_digest
 from clickloom.llm.decontaminate import hit_report, with_hits
+from clickloom.llm.html_extract import extract_pages
 from clickloom.llm.id_planes import read_token_planes, write_token_planes
 from clickloom.llm.line_dedup import with_line_spread
 from clickloom.llm.near_dedup import near_duplicates
 from clickloom.llm.packing import packed_documents
+from clickloom.llm.quality_model import fit_quality, is_held_out, quality_scores
 from clickloom.llm.quality_rules import with_quality
 from clickloom.llm.token_counts import token_counts
 
@@ -39,10 +41,21 @@ def _token_counts(spark, sf):
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def _quality_model(spark, sf):
+    docs = _table(spark, sf, "documents")
+    model = fit_quality(docs, _table(spark, sf, "labels"))
+    scores = quality_scores(docs, model)
+    return scores.select("doc_id", is_held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def _packing(spark, sf):
     return packed_documents(_table(spark, sf, "documents"), BYTE_BPE, end_id=0)
 
 
+def _page_text(spark, sf):
+    return extract_pages(_table(spark, sf, "pages"))
+
+
 def _line_dedup(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text", "source")
     return with_line_spread(docs).select("doc_id", "_lines.*", "text")
@@ -72,7 +85,9 @@ def _chat_windows(spark, sf):
 QUERIES = {
     "op1_token_id_planes": _token_id_planes,
     "op2_token_counts": _token_counts,
+    "op3_quality_model": _quality_model,
     "op4_packing": _packing,
+    "op5_page_text": _page_text,
     "op6_line_dedup": _line_dedup,
     "op7_benchmark_hits": _benchmark_hits,
     "op8_quality_rules": _quality_rules,
