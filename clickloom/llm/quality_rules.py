@@ -110,13 +110,16 @@ def _measured(docs: DataFrame) -> DataFrame:
     n_repeat = F.when(F.size("repeated") > 0, n_repeat).otherwise(0)
     space, symbols, *others = [F.get("in_class", i) for i in range(1 + len(CLASSES))]
     rest = F.col("n_chars") - sum((F.get("in_class", i) for i in range(len(CLASSES) + 1)), F.lit(0))
-    counted = found.select(
-        "doc", "lang", "n_chars", "n_words", n_repeat.alias("n_repeat"), "word_counts",
+    measures = F.struct(
+        "n_words", n_repeat.alias("n_repeat"), "word_counts",
         (F.col("n_chars") - space).alias("word_chars"),
         symbols.alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.array(space, symbols, *others, rest).alias("char_counts"),
     )
+    # As a generator's output the measures are taken once per row: a filter on them would
+    # otherwise be pushed down to the scan with copies of all that they are computed from.
+    counted = found.select("doc", "lang", "n_chars", F.inline(F.array(measures)))
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat") > REPEAT_PERCENT * F.col("n_words")
     )
