@@ -21,7 +21,7 @@ REPEAT_PERCENT = 50
 CHAR_TEST_WORDS = 50
 WORD_TEST_WORDS = 100
 MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.40
+MAX_WORD_DISTANCE = 0.25
 
 # White space, symbols, other character classes, and common words.
 SPACE = " \t\n\x0b\x0c\r"

@@ -14,6 +14,7 @@ from clickloom.llm.html_extract import extract_pages
 from clickloom.llm.id_planes import read_token_planes, write_token_planes
 from clickloom.llm.line_dedup import with_line_spread
 from clickloom.llm.near_dedup import near_duplicates
+from clickloom.llm.oracles import ORACLES as ORACLES
 from clickloom.llm.packing import packed_documents
 from clickloom.llm.quality_model import fit_quality, is_held_out, quality_scores
 from clickloom.llm.quality_rules import with_quality
@@ -95,4 +96,4 @@ QUERIES = {
     "op10_chat_windows": _chat_windows,
 }
 
-ORACLES: dict[str, str] = {}
+
