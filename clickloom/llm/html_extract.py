@@ -198,11 +198,13 @@ def _covered(parsed: DataFrame, undecided, run_tokens: int, min_pages: int) -> D
     streams = (
         parsed.join(hosts, F.col("host") == F.col("open_host"), "left_semi")
         .select("host", "row", undecided.alias("open"), stream.alias("tokens"))
-        .where(F.size("tokens") >= run_tokens)
     )
-    keys = F.transform(
-        F.sequence(F.lit(0), F.size("tokens") - run_tokens),
-        lambda i: F.md5(F.array_join(F.slice("tokens", i + 1, run_tokens), " ")),
+    keys = F.when(
+        F.size("tokens") >= run_tokens,
+        F.transform(
+            F.sequence(F.lit(0), F.size("tokens") - run_tokens),
+            lambda i: F.md5(F.array_join(F.slice("tokens", i + 1, run_tokens), " ")),
+        ),
     )
     suffixes = streams.select("host", "row", "open", keys.alias("keys"))
     once = suffixes.select("host", F.explode(F.array_distinct("keys")).alias("key"))
