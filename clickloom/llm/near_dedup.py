@@ -35,7 +35,7 @@ RECALL = 0.99999
 SKETCH = 128
 # Pairs that could be similar enough, and sets so close that one can stand for the other:
 # 1 - CANDIDATE > (1 - SIMILARITY) + (1 - SAME), with four sigma of room.
-CANDIDATE, SAME = 0.5, 0.9
+CANDIDATE, SAME = 0.4, 0.82
 BRANCHES = 4
 LEVELS = 3
 NODE_SETS = 1024
@@ -86,6 +86,16 @@ def near_duplicates(
     return _labelled(rows, components(links))
 
 
+def without_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """One document of each component, that of the lowest ``doc_id``, and all empty ones.
+
+    Rows that share a ``doc_id`` stay or go together.
+    """
+    found = near_duplicates(docs, shingle_words).where("kept").select(F.col("doc_id").alias("kept_id"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id"))
+    return docs.join(found.hint("merge"), same, "left_semi")
+
+
 # ---- sets -----------------------------------------------------------------------------
 
 
@@ -351,7 +361,7 @@ def _exact_links(docs, classes, groups, k, percent) -> DataFrame:
     )
     same = (F.col("cls") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))
     members = written(
-        named.join(wanted, same).select(
+        named.join(wanted.hint("merge"), same).select(
             "cls", "group", "text", "parts",
             F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int").alias("p1"),
         ),
