@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.times import format_time, minute_parts
 from clickloom.operators.skew import key_copy
+from clickloom.operators.upserts import key_copies, same_keys
 
 BLACKLIST_THRESHOLD = 100
 USER_AD_KEYS = ["date", "user_id", "ad_id"]
@@ -28,9 +29,9 @@ def daily_user_ad_clicks(clicks: DataFrame) -> DataFrame:
 
 def click_count_lookup(keys: DataFrame, counts: DataFrame) -> DataFrame:
     """Count on record for each (date, user, ad) asked for; 0 where there is none."""
-    found = keys.select(*USER_AD_KEYS).join(
-        counts.select(*USER_AD_KEYS, "click_count"), USER_AD_KEYS, "left"
-    )
+    asked = keys.select(*USER_AD_KEYS)
+    recorded = key_copies(counts, USER_AD_KEYS, "click_count")
+    found = asked.join(recorded, same_keys(asked, recorded, USER_AD_KEYS), "left")
     count = F.coalesce("click_count", F.lit(0).cast("long"))
     return found.select(*USER_AD_KEYS, count.alias("click_count"))
 

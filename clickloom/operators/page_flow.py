@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.numbers import format_double, ratio
@@ -25,47 +25,63 @@ def _pairs(flow: str) -> list[str]:
     return [f"{a}_{b}" for a, b in zip(pages, pages[1:])]
 
 
-def page_steps(actions: DataFrame, slice_unit: str = "HOUR") -> DataFrame:
-    """Each action with the next page of its session, in time order; last ones drop out.
+def _followed(actions: DataFrame, slice_unit: str) -> DataFrame:
+    """Each action with ``next``, a struct of the page after it; null for a session's last.
 
-    A session is not sorted as one group: it is cut into time slices, steps inside a
-    slice come from a window over (session, slice), and the steps between slices from
-    a second window over the first and last action of each slice. So one endless
-    session spreads over as many tasks as it has slices, and the result is exact for
-    any unit of ``date_trunc``: take a finer one where one session fills whole hours.
-    Equal times are ordered by page.
+    A session is not sorted as one group: it is cut into time slices. Steps inside a slice
+    come from a window over (session, slice). The last action of a slice is followed by the
+    first of the session's next slice; those are one aggregated row per slice, placed by a
+    window of their own and joined back. So one endless session spreads over as many tasks
+    as it has slices, and the result is exact for any unit of ``date_trunc``: take a
+    finer one where one session fills whole hours. Equal times are ordered by page.
     """
     ts = parse_time("action_time")
-    visits = actions.select("session_id", "page_id", ts.alias("ts"))
-    visits = visits.withColumn("slice", F.date_trunc(slice_unit, "ts"))
-    in_slice = Window.partitionBy("session_id", "slice").orderBy("ts", "page_id")
-    placed = visits.select(
-        "session_id",
+    visits = actions.select("session_id", "page_id", ts.alias("ts")).select(
+        # Keys without nulls, so that the join below needs no other partitioning.
+        F.coalesce("session_id", F.lit("")).alias("session"),
+        F.col("session_id").isNull().alias("nameless"),
+        F.coalesce(F.date_trunc(slice_unit, "ts"), F.timestamp_seconds(F.lit(-(1 << 35)))).alias("slice"),
         "page_id",
         "ts",
-        F.row_number().over(in_slice).alias("place"),
-        F.lead("page_id").over(in_slice).alias("next_page"),
     )
-    inside = placed.where(F.col("next_page").isNotNull())
-    # The window is the same, so its shuffle is reused for this branch.
-    edges = placed.where((F.col("place") == 1) | F.col("next_page").isNull())
-    in_session = Window.partitionBy("session_id").orderBy("ts", "page_id", "place")
-    following = edges.withColumn("following", F.lead("page_id").over(in_session))
-    between = following.where(F.col("next_page").isNull() & F.col("following").isNotNull())
-    return inside.select("session_id", "page_id", "next_page").unionByName(
-        between.select("session_id", "page_id", F.col("following").alias("next_page"))
+    keys = ["session", "nameless", "slice"]
+    # Dealt once for the window and for the slices' first pages.
+    visits = visits.repartition(*keys)
+    in_slice = Window.partitionBy(*keys).orderBy("ts", "page_id")
+    page = F.struct("page_id")
+    placed = visits.withColumn("in_slice", F.lead(page).over(in_slice))
+    firsts = visits.groupBy(*keys).agg(F.min(F.struct("ts", "page_id")).alias("first"))
+    by_slice = Window.partitionBy("session", "nameless").orderBy("slice")
+    after = firsts.select(*keys, F.lead(F.struct("first.page_id")).over(by_slice).alias("after"))
+    session_id = F.when(~F.col("nameless"), F.col("session"))
+    return placed.join(after, keys).select(
+        session_id.alias("session_id"), "page_id", F.coalesce("in_slice", "after").alias("next")
     )
 
 
-def page_split_pairs(actions: DataFrame, flow: str) -> DataFrame:
+def page_steps(actions: DataFrame, slice_unit: str = "HOUR") -> DataFrame:
+    """Each action with the next page of its session, in time order; last ones drop out.
+
+    A null page is a page like any other: a step leads to it and one leads on from it.
+    """
+    steps = _followed(actions, slice_unit).where(F.col("next").isNotNull())
+    return steps.select("session_id", "page_id", F.col("next.page_id").alias("next_page"))
+
+
+def _split(next_page: str) -> Column:
+    """``a_b``; null where either page is."""
+    return F.concat(F.col("page_id").cast("string"), F.lit("_"), F.col(next_page).cast("string"))
+
+
+def page_split_pairs(actions: DataFrame, flow: str, slice_unit: str = "HOUR") -> DataFrame:
     """One row ``a_b`` for each step that is a pair of the target flow."""
-    split = F.concat_ws("_", F.col("page_id").cast("string"), F.col("next_page").cast("string"))
-    steps = page_steps(actions).select("session_id", split.alias("page_split"))
+    steps = page_steps(actions, slice_unit)
+    steps = steps.select("session_id", _split("next_page").alias("page_split"))
     return steps.where(F.col("page_split").isin(_pairs(flow)))
 
 
-def page_split_pv(actions: DataFrame, flow: str) -> DataFrame:
-    pairs = page_split_pairs(actions, flow)
+def page_split_pv(actions: DataFrame, flow: str, slice_unit: str = "HOUR") -> DataFrame:
+    pairs = page_split_pairs(actions, flow, slice_unit)
     return pairs.groupBy("page_split").agg(F.count(F.lit(1)).alias("pv"))
 
 
@@ -78,19 +94,33 @@ def start_page_pv(actions: DataFrame, flow: str) -> DataFrame:
     )
 
 
-def page_convert_rates(actions: DataFrame, flow: str, scale: int = 2) -> DataFrame:
+def page_convert_rates(
+    actions: DataFrame, flow: str, scale: int = 2, slice_unit: str = "HOUR"
+) -> DataFrame:
     """Rate of each step: its views over those of the step before (of the start page for
     the first). A step never taken counts 0; a rate over 0 is null.
 
-    The counts are at most one row per pair of the flow, folded into one map.
+    Steps and views of the start page are counted in one pass. The counts are at most one
+    row per pair of the flow and one for all else, folded into one map.
     """
     pairs = _pairs(flow)
     if not pairs:
         raise ValueError("a page flow needs at least two pages")
-    entry = F.struct("page_split", "pv")
-    pv_map = F.map_from_entries(F.collect_list(entry))
-    views = page_split_pv(actions, flow).agg(pv_map.alias("views"))
-    start = start_page_pv(actions, flow).select(F.col("pv").alias("start_pv")).scalar()
+    split = _split("next.page_id")
+    counted = (
+        _followed(actions, slice_unit)
+        .groupBy(F.when(split.isin(pairs), split).alias("page_split"))
+        .agg(
+            F.count(F.lit(1)).alias("pv"),
+            F.count_if(F.col("page_id") == _pages(flow)[0]).alias("starts"),
+        )
+    )
+    entry = F.when(F.col("page_split").isNotNull(), F.struct("page_split", "pv"))
+    views = counted.agg(
+        F.map_from_entries(F.collect_list(entry)).alias("views"),
+        F.coalesce(F.sum("starts"), F.lit(0).cast("long")).alias("start_pv"),
+    )
+    start = F.col("start_pv")
 
     def views_of(pair: str):
         return F.coalesce(F.try_element_at("views", F.lit(pair)), F.lit(0).cast("long"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickloom import schemas
 from clickloom.functions.labels import AREA_LEVELS
 from clickloom.operators.area_products import area_top_products
-from clickloom.sources.tables import append_parquet
+from clickloom.sources.tables import replace_task_rows
 from clickloom.sources.tasks import read_task
 
 
@@ -30,4 +30,6 @@ def run_area_job(
         actions, cities, products, params.start_date, params.end_date, levels=levels
     )
     tagged = top.withColumn("task_id", F.lit(task_id))
-    append_parquet(tagged, f"{output}/area_top3_product", schemas.AREA_TOP3_PRODUCT)
+    replace_task_rows(
+        tagged, f"{output}/area_top3_product", schemas.AREA_TOP3_PRODUCT, task_id
+    )

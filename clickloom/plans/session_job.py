@@ -17,9 +17,9 @@ from clickloom.operators.sessions import (
     session_statistics,
     with_user_info,
 )
-from clickloom.sources.tables import append_parquet
+from clickloom.sources.tables import replace_task_rows
 from clickloom.sources.tasks import read_task
-from clickloom.sources.workspace import work_folder
+from clickloom.sources.workspace import drop_folder, work_folder
 
 SESSION_STAT = schemas.columns("task_id bigint, stat string, value bigint")
 TOP_CATEGORY = schemas.columns(
@@ -40,7 +40,8 @@ def run_session_job(
     """Write statistics, sampled sessions with their actions, and top categories.
 
     The filtered sessions feed four results, so they are stored once in the shared
-    work folder: no result scans the actions again to rebuild them.
+    work folder and removed at the end: no result scans the actions again to rebuild them.
+    Rows of the task are replaced, so a job that failed can be run again.
     """
     params = read_task(tasks, task_id)
     in_range = actions_by_date(actions, params.start_date, params.end_date)
@@ -49,15 +50,16 @@ def run_session_job(
     filter_sessions(complete, params).write.parquet(stored)
     sessions = spark.read.parquet(stored)
 
-    def append(df: DataFrame, name: str, schema: StructType) -> None:
+    def put(df: DataFrame, name: str, schema: StructType) -> None:
         tagged = df if "task_id" in df.columns else df.withColumn("task_id", F.lit(task_id))
-        append_parquet(tagged, f"{output}/{name}", schema)
+        replace_task_rows(tagged, f"{output}/{name}", schema, task_id)
 
-    append(session_statistics(sessions), "session_stat", SESSION_STAT)
+    put(session_statistics(sessions), "session_stat", SESSION_STAT)
 
     sample = random_extract(sessions, task_id, sample_size)
-    append(sample, "session_random_extract", schemas.SESSION_RANDOM_EXTRACT)
-    append(session_details(sample, in_range), "session_detail", schemas.SESSION_DETAIL)
+    put(sample, "session_random_extract", schemas.SESSION_RANDOM_EXTRACT)
+    put(session_details(sample, in_range), "session_detail", schemas.SESSION_DETAIL)
 
     details = session_details(sessions, in_range)
-    append(top_categories(category_counts(details)), "top10_category", TOP_CATEGORY)
+    put(top_categories(category_counts(details)), "top10_category", TOP_CATEGORY)
+    drop_folder(spark, stored)

@@ -9,9 +9,18 @@ CLICK_START, CLICK_END = "1996-01-01", "1997-12-31"
 FLOW = "1,2,3,4,5"
 TASK_ID = 7
 SAMPLE_SIZE = 1000
+LARGE_SAMPLE_SIZE = 5000
 BLACKLIST_CLICKS = 3
 LISTED_UNTIL = "2024-01-03"
 SESSION_PARAMS = TaskParams(TASK_ID, start_age=20, end_age=50, sex="male", keywords="kw1,kw2")
+LIST_PARAMS = TaskParams(
+    TASK_ID,
+    start_age=20,
+    end_age=50,
+    professionals="BUILDING,MACHINERY",
+    cities="CHINA,FRANCE,PERU,KENYA,JAPAN,INDIA",
+    category_ids="1,2,3,5,8,13,21,34,55,89",
+)
 # The levels of the areas in the provided tables.
 LEVELS = {
     "AFRICA": "A Level",

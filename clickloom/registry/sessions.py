@@ -25,8 +25,12 @@ def _filtered(spark, sf):
     return ops.filter_sessions(_full(spark, sf), i.SESSION_PARAMS)
 
 
-def _sample(spark, sf):
-    return sampling.random_extract(_sessions(spark, sf), i.TASK_ID, i.SAMPLE_SIZE)
+def _sample(spark, sf, total=i.SAMPLE_SIZE):
+    return sampling.random_extract(_sessions(spark, sf), i.TASK_ID, total)
+
+
+def _filtered_by_lists(spark, sf):
+    return ops.filter_sessions(_full(spark, sf), i.LIST_PARAMS)
 
 
 def _action_by_date_range(spark, sf):
@@ -52,6 +56,8 @@ QUERIES = {
     "step_length_hist": lambda s, d: ops.step_length_histogram(_sessions(s, d)),
     "sessions_per_hour": lambda s, d: sampling.sessions_per_hour(_sessions(s, d)),
     "session_random_extract": _sample,
+    "session_random_extract_large": lambda s, d: _sample(s, d, i.LARGE_SAMPLE_SIZE),
+    "session_filter_lists": _filtered_by_lists,
     "session_detail": _session_detail,
     "extract_session_detail": _extract_session_detail,
 }
@@ -89,13 +95,15 @@ def _stat_rows() -> str:
     return "\nUNION ALL ".join(rows)
 
 
-_SAMPLE = f"""hours AS (
+
+def _sample_sql(total: int) -> str:
+    return f"""hours AS (
   SELECT substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS hour, count(*) AS n
   FROM session_agg GROUP BY ALL),
 quotas AS (
   SELECT date, hour, CAST(trunc((CAST(n AS DOUBLE)
       / CAST(sum(n) OVER (PARTITION BY date) AS DOUBLE))
-    * ({i.SAMPLE_SIZE} // (SELECT count(DISTINCT date) FROM hours))) AS BIGINT) AS quota
+    * ({total} // (SELECT count(DISTINCT date) FROM hours))) AS BIGINT) AS quota
   FROM hours),
 ranked AS (
   SELECT *, substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS hour,
@@ -106,6 +114,9 @@ sample AS (
   SELECT CAST({i.TASK_ID} AS BIGINT) AS task_id, session_id, start_time, search_keywords,
     click_category_ids
   FROM ranked JOIN quotas USING (date, hour) WHERE rn <= quota)"""
+
+
+_SAMPLE = _sample_sql(i.SAMPLE_SIZE)
 _DETAIL = ", ".join(f"a.{c}" for c in ops.DETAIL_COLUMNS)
 
 ORACLES = {
@@ -128,6 +139,17 @@ ORACLES = {
     "session_random_extract": i.with_tables(
         *_SESSION_TABLES, _SAMPLE, query="SELECT * FROM sample"
     ),
+    "session_random_extract_large": i.with_tables(
+        *_SESSION_TABLES, _sample_sql(i.LARGE_SAMPLE_SIZE), query="SELECT * FROM sample"
+    ),
+    "session_filter_lists": i.with_tables(
+        *_FULL_TABLES,
+        query="""SELECT * FROM session_full
+        WHERE age BETWEEN 20 AND 50 AND professional IN ('BUILDING', 'MACHINERY')
+          AND city IN ('CHINA', 'FRANCE', 'PERU', 'KENYA', 'JAPAN', 'INDIA')
+          AND list_has_any(string_split(click_category_ids, ','),
+            ['1', '2', '3', '5', '8', '13', '21', '34', '55', '89'])""",
+    ),
     "session_detail": i.with_tables(
         *_FILTERED_TABLES,
         query=f"""SELECT {_DETAIL} FROM user_visit_action a

@@ -54,6 +54,14 @@ def read_jdbc(
     return reader.load()
 
 
+def _is_file_scan(plan) -> bool:
+    """Whether a plan is a file scan under projections and filters only."""
+    kind = plan.getClass().getSimpleName()
+    if kind in ("Project", "Filter", "SubqueryAlias"):
+        return _is_file_scan(plan.children().head())
+    return kind == "LogicalRelation"
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Size the optimizer expects for ``df`` (file sizes and filters, no job is run)."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
@@ -61,8 +69,28 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast for a side of checked size; a larger one joins by shuffle."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    """Hint a broadcast for files of checked size; all else joins as the optimizer sees fit.
+
+    A hinted broadcast cannot fall back, and only of a file scan is the size known to hold:
+    joins and generators are estimated, so they are left to run-time statistics.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return F.broadcast(df) if _is_file_scan(plan) and estimated_bytes(df) <= limit else df
+
+
+def replace_task_rows(df: DataFrame, path: str, schema: StructType, task_id: int) -> None:
+    """Replace the result rows of one task, so that a job can be run again.
+
+    They lie in a folder of the task below ``path`` and are overwritten as a whole, also by
+    an empty result. Read the table with :func:`read_results`.
+    """
+    rows = as_schema(df, schema).drop("task_id")
+    rows.write.mode("overwrite").parquet(f"{path}/task_id={task_id}")
+
+
+def read_results(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A result table in its fixed schema, the tasks' folders as column ``task_id``."""
+    return as_schema(spark.read.parquet(path), schema)
 
 
 def append_parquet(

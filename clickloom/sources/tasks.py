@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 
 def _first(field: str) -> Column:
-    return F.try_element_at(F.col("params")[field], F.lit(1))
+    """First item of a field; a blank one is as good as none."""
+    item = F.try_element_at(F.col("params")[field], F.lit(1))
+    return F.when(F.trim(item) != "", item)
 
 
 def parse_task_params(tasks: DataFrame) -> DataFrame:

@@ -8,6 +8,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`work_folder` named, once nothing reads it any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path below ``spark.checkpoint.dir``, which the cluster shares.
 

@@ -98,3 +98,18 @@ def test_upserts(spark):
     assert sorted(r[0] for r in upserts.append_new(target, change.union(change), ["k"]).collect()) == [4]
     once = upserts.upsert_replace(target, change, ["k"])
     assert rows(upserts.upsert_replace(once, change, ["k"])) == rows(once)
+
+
+def test_null_keys_are_keys(spark):
+    schema = "k long, g string, click_count long"
+    target = spark.createDataFrame([(None, None, 1), (1, "a", 2)], schema)
+    change = spark.createDataFrame([(None, None, 9)], schema)
+    want = [(1, "a", 2), (None, None, 9)]
+    for got in (upserts.upsert_replace(target, change, ["k"]), upserts.replace_group(target, change, ["g"])):
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    assert upserts.append_new(target, change, ["k"]).count() == 0
+    added = upserts.upsert_add(target.drop("g"), change.drop("g"), ["k"])
+    assert sorted(map(tuple, added.collect()), key=str) == [(1, 2), (None, 10)]
+    keys = spark.createDataFrame([(None, 1, None)], "date string, user_id long, ad_id long")
+    counts = spark.createDataFrame([(None, 1, None, 7)], "date string, user_id long, ad_id long, click_count long")
+    assert [r["click_count"] for r in ad_stats.click_count_lookup(keys, counts).collect()] == [7]

@@ -23,6 +23,7 @@ def tasks(spark):
             '"startAge":["20"],"endAge":["40"],"targetPageFlow":["1,2,3"]}'),
         (2, '{"startDate":[],"startAge":["x"]}'),
         (3, "no json"),
+        (5, '{"sex":[""],"keywords":[" "],"startDate":[""],"endDate":[""],"professionals":["a"]}'),
         (4, '{"startDate":["2024-01-01"],"endDate":["2024-01-02"]}'),
     ]
     data = [(i, None, None, None, None, None, None, p) for i, p in rows]
@@ -33,8 +34,10 @@ def test_task_parameters(tasks):
     task = read_task(tasks, 1)
     assert (task.start_date, task.end_date, task.start_age, task.sex) == ("2024-01-01", "2024-01-02", 20, "male")
     assert task.cities is None and task.target_page_flow == "1,2,3"
+    blank = read_task(tasks, 5)
+    assert (blank.sex, blank.keywords, blank.start_date, blank.professionals) == (None, None, None, "a")
     assert read_task(tasks, 2).start_date is None and read_task(tasks, 2).start_age is None
-    assert parse_task_params(tasks).count() == 4
+    assert parse_task_params(tasks).count() == 5
     with pytest.raises(LookupError, match="no task with id 9"):
         read_task(tasks, 9)
 
@@ -101,6 +104,8 @@ def test_session_job(spark, tasks, shop, tmp_path):
     out = str(tmp_path)
     run_session_job(spark, tasks, actions, users, 1, out)
 
+    run_session_job(spark, tasks, actions, users, 1, out)
+
     def read(name):
         return [r.asDict() for r in spark.read.parquet(f"{out}/{name}").collect()]
 
@@ -110,24 +115,28 @@ def test_session_job(spark, tasks, shop, tmp_path):
     sample = read("session_random_extract")
     assert sorted(r["session_id"] for r in sample) == ["s1", "s3", "s5"]
     assert {r["task_id"] for r in sample} == {1}
-    detail = spark.read.parquet(f"{out}/session_detail")
+    detail = tables.read_results(spark, f"{out}/session_detail", schemas.SESSION_DETAIL)
     assert detail.schema == schemas.SESSION_DETAIL and detail.count() == 15
     top = {r["category_id"]: (r["click_count"], r["order_count"], r["pay_count"]) for r in read("top10_category")}
     assert top == {0: (3, 0, 0), 1: (3, 3, 0), 2: (3, 3, 3)}
 
 
 def test_page_job(spark, tasks, shop, tmp_path):
-    run_page_job(tasks, shop[0], 1, str(tmp_path))
-    got = spark.read.parquet(f"{tmp_path}/page_split_convert_rate").collect()
-    assert [tuple(r) for r in got] == [(1, "1_2=1.0|2_3=0.5")]
+    for unit in ("HOUR", "MINUTE"):
+        run_page_job(tasks, shop[0], 1, str(tmp_path), unit)
+    got = tables.read_results(
+        spark, f"{tmp_path}/page_split_convert_rate", schemas.PAGE_SPLIT_CONVERT_RATE)
+    assert [tuple(r) for r in got.collect()] == [(1, "1_2=1.0|2_3=0.5")]
     with pytest.raises(ValueError):
         run_page_job(tasks, shop[0], 4, str(tmp_path))
 
 
 def test_area_job(spark, tasks, shop, tmp_path):
     actions, _, cities, products = shop
-    run_area_job(tasks, actions, cities, products, 4, str(tmp_path))
-    got = spark.read.parquet(f"{tmp_path}/area_top3_product")
+    for _ in range(2):
+        run_area_job(tasks, actions, cities, products, 4, str(tmp_path))
+    got = tables.read_results(
+        spark, f"{tmp_path}/area_top3_product", schemas.AREA_TOP3_PRODUCT)
     assert got.schema == schemas.AREA_TOP3_PRODUCT
     assert {(r["area"], r["area_level"], r["click_count"]) for r in got.collect()} == {
         ("West North", "C Level", 3), ("Moon", "D Level", 3)}
@@ -142,6 +151,8 @@ def test_small_dimension_is_broadcast_and_a_large_one_is_not(spark, tmp_path):
     assert "BroadcastHashJoin" in _plan(area_products.click_product_basic(clicks, cities))
     hinted = tables.broadcast_if_small(cities, limit=10)
     assert hinted is cities and tables.estimated_bytes(cities) > 10
+    exploded = cities.selectExpr("city_id", "explode(sequence(1, 1000)) as n")
+    assert tables.broadcast_if_small(exploded, limit=1 << 30) is exploded
 
 
 def test_date_and_column_selection_reach_the_scan(spark, tmp_path, shop, capsys):
@@ -157,9 +168,16 @@ def test_rank_limits_rows_before_the_shuffle(spark):
     full = spark.range(100).selectExpr(
         "cast(id % 3 as string) area", "id product_id", "id click_count", "'' city_infos", "'' product_name", "'' product_status")
     assert _plan(area_products.top_products_per_area(full)).count("WindowGroupLimit") == 2
+
+
+def test_sample_ranks_inside_buckets_of_an_hour(spark):
     some = spark.range(1000).selectExpr(
         "cast(id as string) session_id", "concat('2024-01-0', id % 3, ' 00:00:00') start_time", "'' search_keywords", "'' click_category_ids")
-    assert _plan(sampling.random_extract(some, 1)).count("WindowGroupLimit") == 2
+    for total in (100, 5000):
+        ranks = [x for x in _plan(sampling.random_extract(some, 1, total)).splitlines() if "row_number" in x]
+        assert ranks and all("bucket" in x for x in ranks)
+    assert sampling.random_extract(some, 1, 600).count() == 600
+    assert sampling.random_extract(some, 1, 5000).count() == 1000
 
 
 @pytest.fixture

@@ -42,6 +42,33 @@ def test_steps_are_the_same_for_any_slice(actions, slices):
     assert sorted(tuple(r) for r in got) == sorted(expected)
 
 
+@pytest.mark.parametrize("slices", ["HOUR", "SECOND"])
+def test_a_null_page_is_a_step_of_its_own(actions, slices):
+    df = _visits(actions, {
+        "s": [("2024-01-01 10:00:00", 1), ("2024-01-01 10:00:01", None), ("2024-01-01 11:00:00", 2),
+              ("2024-01-01 11:00:01", 3), ("2024-01-01 12:00:00", None)],
+        None: [("2024-01-01 10:00:00", 1), ("2024-01-01 13:00:00", 2)],
+        "": [("2024-01-01 11:30:00", 9)],
+    })
+    got = [tuple(r) for r in page_flow.page_steps(df, slices).collect()]
+    assert sorted(got, key=str) == sorted(
+        [("s", 1, None), ("s", None, 2), ("s", 2, 3), ("s", 3, None), (None, 1, 2)], key=str)
+    pairs = page_flow.page_split_pairs(df, "1,2,3", slices).collect()
+    assert sorted(r["page_split"] for r in pairs) == ["1_2", "2_3"]
+    rates = page_flow.page_convert_rates(df, "1,2,3", slice_unit=slices).collect()
+    assert [r["convert_rate"] for r in rates] == [0.5, 1.0]
+
+
+def test_rates_sort_the_visits_once(actions, spark, tmp_path):
+    path = str(tmp_path / "a")
+    _visits(actions, {"s": [("2024-01-01 10:00:00", 1), ("2024-01-01 10:00:01", 2)]}).write.parquet(path)
+    rates = page_flow.page_convert_rates(spark.read.parquet(path), "1,2")
+    rates.collect()
+    plan = rates._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # One window over the visits, one over the slices' first pages.
+    assert plan.count("Window [lead") == 2 and plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
 def test_rates_along_the_flow(actions):
     t = "2024-01-01 0{}:00:00".format
     df = _visits(actions, {
