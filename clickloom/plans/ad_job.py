@@ -1,4 +1,4 @@
-"""The real-time ad job: the three streams, each with its own checkpoint."""
+"""The real-time ad job: the four streams, each with its own checkpoint."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from clickloom.streaming.ad_streams import (
     start_ad_click_trend,
     start_ad_stat,
     start_dynamic_blacklist,
+    start_sliding_trend,
 )
 
 
@@ -20,14 +21,20 @@ def start_ad_job(
     threshold: int = BLACKLIST_THRESHOLD,
     late_after: str | None = None,
     trigger: dict | None = None,
+    window_seconds: int = 3600,
+    slide_seconds: int = 10,
 ) -> list[StreamingQuery]:
     """Filter and list users on the log; count and rank what the filter lets pass.
 
     ``lines`` comes from ``kafka_lines`` or ``file_lines``. The counting streams follow
-    the accepted clicks one micro-batch behind.
+    the accepted clicks one micro-batch behind. Nothing is dropped for being late unless
+    ``late_after`` is given.
     """
     filtering = start_dynamic_blacklist(lines, tables, threshold, trigger, keep_rejected=True)
     accepted = tables.accepted.stream()
     counting = start_ad_stat(accepted, tables, late_after=late_after, trigger=trigger)
-    trend = start_ad_click_trend(accepted, tables, trigger=trigger)
-    return [filtering, counting, trend]
+    trend = start_ad_click_trend(accepted, tables, late_after, trigger)
+    sliding = start_sliding_trend(
+        accepted, tables, window_seconds, slide_seconds, late_after, trigger
+    )
+    return [filtering, counting, trend, sliding]

@@ -49,7 +49,7 @@ def _blacklist_filter(spark, sf):
             lines, lambda: spark.read.parquet(path), tables, ALL_NOW
         ),
     )
-    return ads.shown(tables.accepted.table())
+    return ads.shown(tables.passed.table())
 
 
 def _dynamic_blacklist(spark, sf):
@@ -71,12 +71,18 @@ def _run_ad_stat(spark, sf):
 def _ad_click_trend(spark, sf):
     tables, lines = _tables(spark), _staged_log(spark, sf)
     clicks = parse_ad_log(lines)
-    # Files of one write may be read in any order: wait for the whole month.
+    _finish(spark, lambda: ad_streams.start_ad_click_trend(clicks, tables, trigger=ALL_NOW))
+    return tables.trend.table()
+
+
+def _sliding_trend(spark, sf):
+    tables, lines = _tables(spark), _staged_log(spark, sf)
+    clicks = parse_ad_log(lines)
     _finish(
         spark,
-        lambda: ad_streams.start_ad_click_trend(clicks, tables, "40 days", trigger=ALL_NOW),
+        lambda: ad_streams.start_sliding_trend(clicks, tables, 3600, 600, trigger=ALL_NOW),
     )
-    return tables.trend.table()
+    return tables.sliding_trend.table()
 
 
 QUERIES = {
@@ -85,6 +91,7 @@ QUERIES = {
     "stream_ad_stat": lambda s, d: _run_ad_stat(s, d).stat.table(),
     "stream_province_top3": lambda s, d: _run_ad_stat(s, d).province_top3.table(),
     "stream_ad_click_trend": _ad_click_trend,
+    "stream_sliding_ad_trend": _sliding_trend,
 }
 
 ORACLES = {
@@ -93,4 +100,5 @@ ORACLES = {
     "stream_ad_stat": ads.AD_STAT,
     "stream_province_top3": ads.PROVINCE_TOP3,
     "stream_ad_click_trend": ads.AD_CLICK_TREND,
+    "stream_sliding_ad_trend": ads.ORACLES["sliding_ad_trend"],
 }

@@ -63,6 +63,11 @@ AD_CLICK_TREND = columns(
 )
 
 
+AD_SLIDING_TREND = columns(
+    "window_start string, window_end string, ad_id bigint, click_count bigint"
+)
+
+
 def as_schema(df, schema: StructType):
     """``df`` with exactly the columns and types of ``schema``, in its order."""
     return df.select(*[df[f.name].cast(f.dataType) for f in schema.fields])

@@ -24,26 +24,33 @@ def _fields(lines: DataFrame) -> DataFrame:
     )
 
 
-def _is_complete() -> Column:
+def _is_complete(max_ahead: str | None) -> Column:
     # The last field is there only if the four before it are.
-    return F.col("ts").isNotNull() & F.col("user_id").isNotNull() & F.col("ad_id").isNotNull()
+    whole = F.col("ts").isNotNull() & F.col("user_id").isNotNull() & F.col("ad_id").isNotNull()
+    if max_ahead is None:
+        return whole
+    return whole & (F.col("ts") <= F.current_timestamp() + F.expr(f"INTERVAL {max_ahead}"))
 
 
-def parse_ad_log(lines: DataFrame) -> DataFrame:
+def parse_ad_log(lines: DataFrame, max_ahead: str | None = None) -> DataFrame:
     """Typed clicks of the well-formed lines in column ``value``.
 
+    With ``max_ahead``, an interval such as ``1 HOUR``, a line whose time is further ahead
+    of the clock is not well-formed: one of them would move a stream's watermark past all
+    clicks to come.
+
     The test for well-formed lines is part of the row generator: as a filter it would be
     pushed below the split and repeat it once for every field tested.
     """
     click = F.struct("ts", "province", "city", "user_id", "ad_id")
-    clicks = _fields(lines).select(F.inline(F.when(_is_complete(), F.array(click))))
+    clicks = _fields(lines).select(F.inline(F.when(_is_complete(max_ahead), F.array(click))))
     date = format_date("ts").alias("date")
     return clicks.select("ts", date, "province", "city", "user_id", "ad_id")
 
 
-def rejected_ad_log(lines: DataFrame) -> DataFrame:
+def rejected_ad_log(lines: DataFrame, max_ahead: str | None = None) -> DataFrame:
     """The lines that :func:`parse_ad_log` leaves out, as they came."""
-    return _fields(lines).where(~_is_complete()).select("value")
+    return _fields(lines).where(~F.coalesce(_is_complete(max_ahead), F.lit(False))).select("value")
 
 
 def kafka_options(servers: str, topics: str, **more: str) -> dict[str, str]:
@@ -64,7 +71,8 @@ def kafka_lines(spark: SparkSession, servers: str, topics: str, **more: str) ->
 
 def file_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Stream of log lines from text files dropped into a folder."""
-    stream = spark.readStream.format("text")
+    # A stream that was down for long must not skip old files.
+    stream = spark.readStream.format("text").option("maxFileAge", "36500d")
     if files_per_batch is not None:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
     return stream.load(path)

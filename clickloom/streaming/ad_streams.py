@@ -23,10 +23,10 @@ from clickloom.operators.ad_stats import (
     USER_AD_KEYS,
     ad_click_trend,
     ad_stat,
-    click_count_lookup,
     daily_user_ad_clicks,
     province_ad_clicks,
     province_top_ads,
+    sliding_ad_trend,
     users_over_threshold,
     without_blacklisted,
 )
@@ -34,6 +34,8 @@ from clickloom.operators.upserts import append_new
 from clickloom.sources.ad_log import parse_ad_log, rejected_ad_log
 from clickloom.streaming.batch_log import BatchLog, last_by_key, last_group, sum_by_key
 
+# How far a click's time may be ahead of the clock.
+MAX_AHEAD = "1 HOUR"
 LINES = schemas.columns("value string")
 
 
@@ -46,6 +48,7 @@ class AdTables:
 
         self.root = root
         self.accepted = table("accepted_click", schemas.AD_CLICK)
+        self.passed = table("passed_click", schemas.AD_CLICK)
         self.rejected = table("rejected_line", LINES)
         self.user_click_count = table(
             "ad_user_click_count", schemas.AD_USER_CLICK_COUNT, sum_by_key(USER_AD_KEYS)
@@ -64,6 +67,11 @@ class AdTables:
             schemas.AD_CLICK_TREND,
             last_by_key(["date", "hour", "minute", "ad_id"]),
         )
+        self.sliding_trend = table(
+            "ad_sliding_trend",
+            schemas.AD_SLIDING_TREND,
+            last_by_key(["window_start", "window_end", "ad_id"]),
+        )
 
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/_checkpoints/{query}"
@@ -85,11 +93,16 @@ def start_blacklist_filter(
     read_blacklist: Callable[[], DataFrame],
     tables: AdTables,
     trigger: dict | None = None,
+    max_ahead: str | None = MAX_AHEAD,
 ) -> StreamingQuery:
-    """Keep clicks of users not on a list kept elsewhere, read anew for each micro-batch."""
+    """Keep clicks of users not on a list kept elsewhere, read anew for each micro-batch.
+
+    What passes goes to ``tables.passed``.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        tables.accepted.write(without_blacklisted(parse_ad_log(batch), read_blacklist()), batch_id)
+        clicks = parse_ad_log(batch, max_ahead)
+        tables.passed.write(without_blacklisted(clicks, read_blacklist()), batch_id)
 
     return _start(lines, on_batch, tables.checkpoint("blacklist_filter"), trigger)
 
@@ -100,25 +113,26 @@ def start_dynamic_blacklist(
     threshold: int = BLACKLIST_THRESHOLD,
     trigger: dict | None = None,
     keep_rejected: bool = False,
+    max_ahead: str | None = MAX_AHEAD,
 ) -> StreamingQuery:
     """Filter by the list, add up clicks per (date, user, ad), list users over the threshold.
 
     A user listed by one micro-batch is filtered from the next one on. Each step reads
-    what the step before stored, so the batch itself is parsed once.
+    what the step before stored, so the batch itself is parsed once. Lines whose time is
+    more than ``max_ahead`` ahead of the clock are rejected like broken ones.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         listed = tables.blacklist.table(through=batch_id - 1)
-        tables.accepted.write(without_blacklisted(parse_ad_log(batch), listed), batch_id)
+        tables.accepted.write(without_blacklisted(parse_ad_log(batch, max_ahead), listed), batch_id)
         if keep_rejected:
-            tables.rejected.write(rejected_ad_log(batch), batch_id)
+            tables.rejected.write(rejected_ad_log(batch, max_ahead), batch_id)
 
         counts = daily_user_ad_clicks(tables.accepted.batch(batch_id))
         tables.user_click_count.write(counts, batch_id)
 
         touched = tables.user_click_count.batch(batch_id)
-        recorded = tables.user_click_count.table_on_days_of(batch_id)
-        totals = click_count_lookup(touched, recorded)
+        totals = tables.user_click_count.table_for(touched, USER_AD_KEYS, batch_id)
         over = users_over_threshold(totals, threshold)
         tables.blacklist.write(append_new(listed, over, ["user_id"]), batch_id)
 
@@ -134,27 +148,25 @@ def start_ad_stat(
 ) -> StreamingQuery:
     """Running counts by (date, province, city, ad), and the top ads of changed provinces.
 
-    Counts never expire, unless ``late_after`` is given: then a day's counts leave the
-    state that long after its end, and later clicks on that day are dropped.
+    Counts never expire, unless ``late_after`` is asked for: then a day's counts may leave
+    the state once a click that long after the next day's end has come, and clicks on that day
+    that come still later are dropped. Days are those of the session time zone either way.
     """
     if late_after is None:
         running = ad_stat(clicks)
     else:
-        day = F.window("ts", "1 day").alias("day")
-        per_day = clicks.withWatermark("ts", late_after).groupBy(day, "province", "city", "ad_id")
-        running = per_day.agg(F.count(F.lit(1)).alias("click_count")).select(
-            F.date_format("day.start", "yyyy-MM-dd").alias("date"),
-            "province",
-            "city",
-            "ad_id",
-            "click_count",
-        )
+        # The end of the day is what the watermark looks at; a click's own day ends up to
+        # a day after the click.
+        ends = clicks.withColumn("day_end", F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY"))
+        marked = ends.withWatermark("day_end", f"1 day {late_after}")
+        per_day = marked.groupBy("day_end", "date", "province", "city", "ad_id")
+        running = per_day.agg(F.count(F.lit(1)).alias("click_count")).drop("day_end")
 
     def on_batch(changed: DataFrame, batch_id: int) -> None:
         tables.stat.write(changed, batch_id)
-        groups = tables.stat.batch(batch_id).select("date", "province").distinct()
-        stat = tables.stat.table_on_days_of(batch_id)
-        in_groups = stat.join(groups, ["date", "province"], "left_semi")
+        in_groups = tables.stat.table_for(
+            tables.stat.batch(batch_id), ["date", "province"], batch_id
+        )
         tables.province_top3.write(province_top_ads(province_ad_clicks(in_groups), k), batch_id)
 
     return _start(running, on_batch, tables.checkpoint("ad_stat"), trigger, "update")
@@ -163,11 +175,38 @@ def start_ad_stat(
 def start_ad_click_trend(
     clicks: DataFrame,
     tables: AdTables,
-    late_after: str = "60 minutes",
+    late_after: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Clicks per minute and ad; a minute leaves the state ``late_after`` its end."""
-    per_minute = ad_click_trend(clicks.withWatermark("ts", late_after))
+    """Clicks per minute and ad.
+
+    All minutes stay in the state and no click is dropped, unless ``late_after`` is asked
+    for: then a minute leaves the state that long after its end.
+    """
+    per_minute = ad_click_trend(_marked(clicks, late_after))
     return _start(
         per_minute, tables.trend.write, tables.checkpoint("ad_click_trend"), trigger, "update"
     )
+
+
+def start_sliding_trend(
+    clicks: DataFrame,
+    tables: AdTables,
+    length_seconds: int = 3600,
+    slide_seconds: int = 10,
+    late_after: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Clicks per ad in sliding windows; windows expire as in :func:`start_ad_click_trend`.
+
+    Without ``late_after`` the state keeps every window there ever was, each click being in
+    ``length / slide`` of them: give one where clicks cannot be late without bound.
+    """
+    sliding = sliding_ad_trend(_marked(clicks, late_after), length_seconds, slide_seconds)
+    return _start(
+        sliding, tables.sliding_trend.write, tables.checkpoint("sliding_trend"), trigger, "update"
+    )
+
+
+def _marked(clicks: DataFrame, late_after: str | None) -> DataFrame:
+    return clicks if late_after is None else clicks.withWatermark("ts", late_after)

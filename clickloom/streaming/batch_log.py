@@ -4,11 +4,13 @@ A micro-batch may be delivered again after a failure. Its folder is written asid
 renamed once complete, and a folder that is there is never replaced; what a batch
 reads is limited to batches before it. So a repeated batch changes nothing, and
 a stream that reads the folders sees each file once. (The rename must be atomic, as it
-is on HDFS and local disks.)
+is on HDFS and local disks.) Batch numbers belong to a checkpoint, so a folder names the
+query that wrote it: a batch of the same number from another query or a new checkpoint is
+an error, for its rows would be lost.
 
 Upserts are resolved when read: added up, or last one wins. Every ``fold_every``
 batches the resolved table is written as a fold, and reading starts from the newest
-fold; folders older than that can be removed at any time.
+fold; :meth:`BatchLog.expire` removes folders older than that.
 """
 
 from __future__ import annotations
@@ -19,8 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
+from clickloom.operators.upserts import key_copies, same_keys
 from clickloom.schemas import as_schema
 
+# Begins the name of a file that says which query wrote a folder; readers skip it.
+OWNER = "_owner-"
 Resolve = Callable[[DataFrame], DataFrame]
 
 
@@ -38,8 +43,10 @@ def last_group(group: Sequence[str]) -> Resolve:
     """Group replace: the latest batch that names a group sets all of its rows."""
 
     def resolve(log: DataFrame) -> DataFrame:
+        keys = [*group, "batch_id"]
         latest = log.groupBy(*group).agg(F.max("batch_id").alias("batch_id"))
-        return log.join(latest, [*group, "batch_id"], "left_semi").drop("batch_id")
+        copies = key_copies(latest, keys)
+        return log.join(copies, same_keys(log, copies, keys), "left_semi").drop("batch_id")
 
     return resolve
 
@@ -52,12 +59,14 @@ class BatchLog:
         schema: StructType,
         resolve: Resolve | None = None,
         fold_every: int = 100,
+        files_per_batch: int = 4,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.resolve = resolve
         self.fold_every = fold_every
+        self.files_per_batch = files_per_batch
         self._stored = StructType([*schema.fields]).add("batch_id", LongType())
         self._listed = StructType([*self._stored.fields]).add("entry", StringType())
 
@@ -79,13 +88,30 @@ class BatchLog:
         batches = sorted(n for kind, n in ids if kind == "b" and (start is None or n > start))
         return ([] if start is None else [f"f{start}"]) + [f"b{n}" for n in batches]
 
-    def _commit(self, df: DataFrame, entry: str, batch_id: int) -> None:
+    def _writer(self) -> str:
+        """The streaming query that runs here; a name that its checkpoint keeps."""
+        return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+    def _check_owner(self, entry: str) -> None:
+        fs, folder = self._fs(f"{self.path}/entry={entry}")
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        owners = [n.removeprefix(OWNER) for n in names if n.startswith(OWNER)]
+        if owners != [self._writer()]:
+            raise RuntimeError(
+                f"{folder.toString()} was written by another query ({', '.join(owners)}); "
+                "its rows would hide those of this one: give the query tables of its own"
+            )
+
+    def _commit(self, df: DataFrame, entry: str, batch_id: int, files: int | None) -> None:
         fs, final = self._fs(f"{self.path}/entry={entry}")
         _, aside = self._fs(f"{self.path}/_writing/{entry}")
         rows = as_schema(df, self.schema).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows = rows if files is None else rows.repartition(files)
         rows.write.mode("overwrite").parquet(aside.toString())
+        fs.create(self._fs(f"{aside.toString()}/{OWNER}{self._writer()}")[1]).close()
         if fs.exists(final):
             fs.delete(aside, True)
+            self._check_owner(entry)
         elif not fs.rename(aside, final):
             raise OSError(f"could not move {aside.toString()} to {final.toString()}")
 
@@ -95,13 +121,30 @@ class BatchLog:
         The rows are computed in any case: on a stream with state that is what takes the
         state and the watermark forward.
         """
-        self._commit(df, f"b{batch_id}", batch_id)
+        self._commit(df, f"b{batch_id}", batch_id, self.files_per_batch)
         if self.resolve is not None and (batch_id + 1) % self.fold_every == 0:
             table = self.table(through=batch_id)
             if "date" in self.schema.names:
                 # Days that are not asked for are then skipped by row-group statistics.
-                table = table.sortWithinPartitions("date")
-            self._commit(table, f"f{batch_id}", batch_id)
+                table = table.repartitionByRange("date").sortWithinPartitions("date")
+            self._commit(table, f"f{batch_id}", batch_id, None)
+
+    def expire(self) -> int:
+        """Remove the folders that the newest fold has made needless; how many there were.
+
+        A table that another stream follows row by row has no folds and keeps all.
+        """
+        fs, root = self._fs(self.path)
+        kept = set(self._entries(None))
+        newest = max((int(e[1:]) for e in kept if e[0] == "f"), default=None)
+        if newest is None:
+            return 0
+        names = [status.getPath().getName() for status in fs.listStatus(root)]
+        entries = [n.removeprefix("entry=") for n in names if n.startswith("entry=")]
+        old = [e for e in entries if e not in kept and int(e[1:]) <= newest]
+        for e in old:
+            fs.delete(self._fs(f"{self.path}/entry={e}")[1], True)
+        return len(old)
 
     def _read(self, entries: Sequence[str]) -> DataFrame:
         if not entries:
@@ -127,17 +170,22 @@ class BatchLog:
     def batch(self, batch_id: int) -> DataFrame:
         return as_schema(self._read([f"b{batch_id}"]), self.schema)
 
-    def days(self, batch_id: int) -> tuple[str, str] | None:
-        """First and last day of a batch; None if it has no rows."""
-        row = self.batch(batch_id).agg(F.min("date"), F.max("date")).first()
-        return None if row[0] is None else (row[0], row[1])
+    def table_for(self, touched: DataFrame, keys: Sequence[str], through: int) -> DataFrame:
+        """The rows of the table after a batch that share their keys with ``touched``.
 
-    def table_on_days_of(self, batch_id: int) -> DataFrame:
-        """The table after a batch, restricted to the days from its first to its last."""
-        days = self.days(batch_id)
-        if days is None:
-            return self.batch(batch_id)
-        return self.table(through=batch_id, days=days)
+        Days that ``touched`` has no rows on are not read, and only rows with its keys are
+        resolved, so the cost follows the batch and not the history. ``keys`` must decide
+        alone which rows replace each other.
+        """
+        rows = self.log(through)
+        if "date" in keys:
+            days = [r["date"] for r in touched.select("date").distinct().collect()]
+            if None not in days:
+                rows = rows.where(F.col("date").isin(days))
+        copies = key_copies(touched.select(*keys).distinct(), keys)
+        rows = rows.join(copies, same_keys(rows, copies, keys), "left_semi")
+        resolved = rows.drop("batch_id") if self.resolve is None else self.resolve(rows)
+        return as_schema(resolved, self.schema)
 
     def stream(self, files_at_once: int | None = None) -> DataFrame:
         """The rows as a stream, for a query that follows the one writing them."""
@@ -145,7 +193,7 @@ class BatchLog:
             raise ValueError("a table with upserts cannot be followed row by row")
         fs, root = self._fs(self.path)
         fs.mkdirs(root)
-        reader = self.spark.readStream.schema(self._listed)
+        reader = self.spark.readStream.schema(self._listed).option("maxFileAge", "36500d")
         if files_at_once is not None:
             reader = reader.option("maxFilesPerTrigger", files_at_once)
         return reader.parquet(self.path).select(*self.schema.names)

@@ -111,7 +111,7 @@ def test_outside_blacklist_is_read_anew_for_each_batch(spark, tmp_path):
     tables = _tables(spark, tmp_path)
     source = file_lines(spark, str(tmp_path / "in"), 1)
     ad_streams.start_blacklist_filter(source, read, tables, NOW).awaitTermination()
-    assert [r["user_id"] for r in tables.accepted.table().orderBy("user_id").collect()] == [1, 2, 2]
+    assert [r["user_id"] for r in tables.passed.table().orderBy("user_id").collect()] == [1, 2, 2]
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
@@ -157,11 +157,10 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     log.write(stat(5), 1)
     assert _rows(log.table()) == [("2024-01-01", "P", "C", 1, 5)]
     assert _rows(log.table(through=0)) == [("2024-01-01", "P", "C", 1, 3)]
-    assert log.table(days=("2024-01-02", "2024-01-03")).count() == 0
-    assert log.days(1) == ("2024-01-01", "2024-01-01")
     log.write(stat(1).where("false"), 2)
-    assert log.days(2) is None and log.table_on_days_of(2).count() == 0
-    assert _rows(log.table_on_days_of(1)) == _rows(log.table())
+    keys = ["date", "province"]
+    assert log.table_for(log.batch(2), keys, 2).count() == 0
+    assert _rows(log.table_for(log.batch(1), keys, 2)) == _rows(log.table())
 
 
 def test_batch_left_half_written_is_written_again(spark, tmp_path):
@@ -204,6 +203,82 @@ def test_whole_job_runs_on_its_default_trigger(spark, tmp_path):
     assert _rows(tables.rejected.table()) == [("broken",)]
 
 
+def test_a_line_from_the_future_is_rejected_and_nothing_is_lost(spark, tmp_path):
+    lines = _log(40)
+    future = "4100000000000 P C 1 1"
+    _drop(tmp_path / "in", 0, [*lines[:10], future])
+    for n in (1, 2, 3):
+        _drop(tmp_path / "in", n, lines[10 * n : 10 * n + 10])
+    tables = _tables(spark, tmp_path)
+    source = file_lines(spark, str(tmp_path / "in"), 1)
+    ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW, keep_rejected=True).awaitTermination()
+    assert tables.accepted.table().count() == 40
+    assert _rows(tables.rejected.table()) == [(future,)]
+    accepted = tables.accepted.stream(files_at_once=1)
+    ad_streams.start_ad_click_trend(accepted, tables, trigger=NOW).awaitTermination()
+    ad_streams.start_sliding_trend(accepted, tables, 3600, 1200, trigger=NOW).awaitTermination()
+    clicks = _batch_clicks(spark, lines)
+    assert _rows(tables.trend.table()) == _rows(ad_stats.ad_click_trend(clicks))
+    assert _rows(tables.sliding_trend.table()) == _rows(ad_stats.sliding_ad_trend(clicks, 3600, 1200))
+
+
+def test_two_filters_on_the_same_tables_keep_their_rows(spark, tmp_path):
+    _drop(tmp_path / "in", 0, ["0 P C 1 1", "1 P C 2 1", "2 P C 3 1"])
+    tables = _tables(spark, tmp_path)
+    source = file_lines(spark, str(tmp_path / "in"), 1)
+    none = spark.createDataFrame([], "user_id long")
+    ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW).awaitTermination()
+    ad_streams.start_blacklist_filter(source, lambda: none, tables, NOW).awaitTermination()
+    assert tables.accepted.table().count() == tables.passed.table().count() == 3
+
+
+def test_a_new_checkpoint_on_old_tables_is_an_error(spark, tmp_path):
+    _drop(tmp_path / "in", 0, ["0 P C 1 1"])
+    tables = _tables(spark, tmp_path)
+    source = file_lines(spark, str(tmp_path / "in"), 1)
+    ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW).awaitTermination()
+    tables.checkpoint = lambda query: str(tmp_path / "new" / query)
+    with pytest.raises(Exception, match="another query"):
+        ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW).awaitTermination()
+
+
+def test_a_batch_reads_no_other_day_and_no_null_group_is_lost(spark, tmp_path):
+    top = BatchLog(spark, str(tmp_path / "top"), schemas.AD_PROVINCE_TOP3, last_group(["date", "province"]))
+    top.write(spark.createDataFrame([("d1", None, 1, 1), ("d2", "P", 1, 1)], schemas.AD_PROVINCE_TOP3), 0)
+    top.write(spark.createDataFrame([("d1", None, 2, 5)], schemas.AD_PROVINCE_TOP3), 1)
+    assert sorted(map(tuple, top.table().collect())) == [("d1", None, 2, 5), ("d2", "P", 1, 1)]
+    found = top.table_for(top.batch(1), ["date", "province"], 1)
+    assert [tuple(r) for r in found.collect()] == [("d1", None, 2, 5)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(date,d1)" in plan or "In(date, [d1])" in plan
+
+
+def test_folded_batches_can_be_removed(spark, tmp_path):
+    count = BatchLog(spark, str(tmp_path / "sum"), schemas.AD_USER_CLICK_COUNT, sum_by_key(["date", "user_id", "ad_id"]), 2)
+    for n in range(5):
+        count.write(spark.createDataFrame([("d", 1, 1, 10)], schemas.AD_USER_CLICK_COUNT), n)
+    before = _rows(count.table())
+    assert count.expire() == 5 and count.expire() == 0
+    assert _rows(count.table()) == before == [("d", 1, 1, 50)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "Europe/Berlin"])
+def test_days_are_those_of_the_session_zone(spark, tmp_path, zone):
+    # The night of 30 to 31 March 2024, when clocks change in Berlin, and the next one.
+    start = 1711828800000 - 6 * 3_600_000
+    lines = [f"{start + i * 40 * MINUTE} P C {i} 1" for i in range(60)]
+    _files(tmp_path / "in", lines, 3)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        tables = _tables(spark, tmp_path)
+        clicks = parse_ad_log(file_lines(spark, str(tmp_path / "in"), 1))
+        ad_streams.start_ad_stat(clicks, tables, late_after="60 minutes", trigger=NOW).awaitTermination()
+        assert _rows(tables.stat.table()) == _rows(ad_stats.ad_stat(_batch_clicks(spark, lines)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_sliding_windows_on_a_stream(spark, tmp_path):
     lines = _log(40)
     _files(tmp_path / "in", lines, 3)
