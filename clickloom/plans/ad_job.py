@@ -23,6 +23,7 @@ def start_ad_job(
     trigger: dict | None = None,
     window_seconds: int = 3600,
     slide_seconds: int = 10,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Filter and list users on the log; count and rank what the filter lets pass.
 
@@ -32,9 +33,11 @@ def start_ad_job(
     """
     filtering = start_dynamic_blacklist(lines, tables, threshold, trigger, keep_rejected=True)
     accepted = tables.accepted.stream()
-    counting = start_ad_stat(accepted, tables, late_after=late_after, trigger=trigger)
-    trend = start_ad_click_trend(accepted, tables, late_after, trigger)
+    counting = start_ad_stat(
+        accepted, tables, late_after=late_after, trigger=trigger, state_partitions=state_partitions
+    )
+    trend = start_ad_click_trend(accepted, tables, late_after, trigger, state_partitions)
     sliding = start_sliding_trend(
-        accepted, tables, window_seconds, slide_seconds, late_after, trigger
+        accepted, tables, window_seconds, slide_seconds, late_after, trigger, state_partitions
     )
     return [filtering, counting, trend, sliding]

@@ -28,60 +28,56 @@ def _tables(spark):
     return ad_streams.AdTables(spark, work_folder(spark, "ad-tables"))
 
 
-def _finish(spark, start):
-    """Run a stream to its end, with no more state partitions than the cores can use."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, min(int(before), 4 * spark.sparkContext.defaultParallelism))
-    try:
-        start().awaitTermination()
-    finally:
-        spark.conf.set(key, before)
+def _state_partitions(spark):
+    """No more than the cores can use, nor more than the session's shuffles have."""
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(shuffles, 4 * spark.sparkContext.defaultParallelism)
 
 
 def _blacklist_filter(spark, sf):
     tables, lines = _tables(spark), _staged_log(spark, sf)
     path = work_folder(spark, "blacklist")
     ads.early_blacklist(ads.clicks(spark, sf)).write.parquet(path)
-    _finish(
-        spark,
-        lambda: ad_streams.start_blacklist_filter(
-            lines, lambda: spark.read.parquet(path), tables, ALL_NOW
-        ),
+    query = ad_streams.start_blacklist_filter(
+        lines, lambda: spark.read.parquet(path), tables, ALL_NOW
     )
+    query.awaitTermination()
     return ads.shown(tables.passed.table())
 
 
 def _dynamic_blacklist(spark, sf):
     tables, lines = _tables(spark), _staged_log(spark, sf)
-    _finish(
-        spark,
-        lambda: ad_streams.start_dynamic_blacklist(lines, tables, i.BLACKLIST_CLICKS, ALL_NOW),
-    )
+    ad_streams.start_dynamic_blacklist(lines, tables, i.BLACKLIST_CLICKS, ALL_NOW).awaitTermination()
     return tables.blacklist.table()
 
 
 def _run_ad_stat(spark, sf):
     tables, lines = _tables(spark), _staged_log(spark, sf)
     clicks = parse_ad_log(lines)
-    _finish(spark, lambda: ad_streams.start_ad_stat(clicks, tables, trigger=ALL_NOW))
+    query = ad_streams.start_ad_stat(
+        clicks, tables, trigger=ALL_NOW, state_partitions=_state_partitions(spark)
+    )
+    query.awaitTermination()
     return tables
 
 
 def _ad_click_trend(spark, sf):
     tables, lines = _tables(spark), _staged_log(spark, sf)
     clicks = parse_ad_log(lines)
-    _finish(spark, lambda: ad_streams.start_ad_click_trend(clicks, tables, trigger=ALL_NOW))
+    query = ad_streams.start_ad_click_trend(
+        clicks, tables, trigger=ALL_NOW, state_partitions=_state_partitions(spark)
+    )
+    query.awaitTermination()
     return tables.trend.table()
 
 
 def _sliding_trend(spark, sf):
     tables, lines = _tables(spark), _staged_log(spark, sf)
     clicks = parse_ad_log(lines)
-    _finish(
-        spark,
-        lambda: ad_streams.start_sliding_trend(clicks, tables, 3600, 600, trigger=ALL_NOW),
+    query = ad_streams.start_sliding_trend(
+        clicks, tables, 3600, 600, trigger=ALL_NOW, state_partitions=_state_partitions(spark)
     )
+    query.awaitTermination()
     return tables.sliding_trend.table()
 
 

@@ -83,9 +83,21 @@ def _start(
     checkpoint: str,
     trigger: dict | None,
     mode: str = "append",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
+    """Start a stream; the number of its state partitions stays as its first start sets it."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).foreachBatch(on_batch).start()
+    writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"})).foreachBatch(on_batch)
+    if state_partitions is None:
+        return writer.start()
+    # A query takes the setting over when it starts.
+    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set(key, before)
 
 
 def start_blacklist_filter(
@@ -145,6 +157,7 @@ def start_ad_stat(
     k: int = 3,
     late_after: str | None = None,
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Running counts by (date, province, city, ad), and the top ads of changed provinces.
 
@@ -169,7 +182,9 @@ def start_ad_stat(
         )
         tables.province_top3.write(province_top_ads(province_ad_clicks(in_groups), k), batch_id)
 
-    return _start(running, on_batch, tables.checkpoint("ad_stat"), trigger, "update")
+    return _start(
+        running, on_batch, tables.checkpoint("ad_stat"), trigger, "update", state_partitions
+    )
 
 
 def start_ad_click_trend(
@@ -177,6 +192,7 @@ def start_ad_click_trend(
     tables: AdTables,
     late_after: str | None = None,
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Clicks per minute and ad.
 
@@ -184,9 +200,8 @@ def start_ad_click_trend(
     for: then a minute leaves the state that long after its end.
     """
     per_minute = ad_click_trend(_marked(clicks, late_after))
-    return _start(
-        per_minute, tables.trend.write, tables.checkpoint("ad_click_trend"), trigger, "update"
-    )
+    checkpoint = tables.checkpoint("ad_click_trend")
+    return _start(per_minute, tables.trend.write, checkpoint, trigger, "update", state_partitions)
 
 
 def start_sliding_trend(
@@ -196,6 +211,7 @@ def start_sliding_trend(
     slide_seconds: int = 10,
     late_after: str | None = None,
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Clicks per ad in sliding windows; windows expire as in :func:`start_ad_click_trend`.
 
@@ -203,8 +219,9 @@ def start_sliding_trend(
     ``length / slide`` of them: give one where clicks cannot be late without bound.
     """
     sliding = sliding_ad_trend(_marked(clicks, late_after), length_seconds, slide_seconds)
+    checkpoint = tables.checkpoint("sliding_trend")
     return _start(
-        sliding, tables.sliding_trend.write, tables.checkpoint("sliding_trend"), trigger, "update"
+        sliding, tables.sliding_trend.write, checkpoint, trigger, "update", state_partitions
     )
 
 
