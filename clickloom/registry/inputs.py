@@ -18,7 +18,7 @@ LIST_PARAMS = TaskParams(
     start_age=20,
     end_age=50,
     professionals="BUILDING,MACHINERY",
-    cities="CHINA,FRANCE,PERU,KENYA,JAPAN,INDIA",
+    cities="NATION_0,NATION_3,NATION_5,NATION_8,NATION_13,NATION_21",
     category_ids="1,2,3,5,8,13,21,34,55,89",
 )
 # The levels of the areas in the provided tables.

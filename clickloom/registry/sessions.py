@@ -146,7 +146,7 @@ ORACLES = {
         *_FULL_TABLES,
         query="""SELECT * FROM session_full
         WHERE age BETWEEN 20 AND 50 AND professional IN ('BUILDING', 'MACHINERY')
-          AND city IN ('CHINA', 'FRANCE', 'PERU', 'KENYA', 'JAPAN', 'INDIA')
+          AND city IN ('NATION_0', 'NATION_3', 'NATION_5', 'NATION_8', 'NATION_13', 'NATION_21')
           AND list_has_any(string_split(click_category_ids, ','),
             ['1', '2', '3', '5', '8', '13', '21', '34', '55', '89'])""",
     ),
