@@ -10,10 +10,12 @@ per language are.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.batches import free_name
+from clickloom.llm.batches import free_name, written
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -44,9 +46,14 @@ COMMON_WORDS = {
 ALL_COMMON = sorted({w for words in COMMON_WORDS.values() for w in words})
 
 
-def with_quality(docs: DataFrame, quality: str = "_quality") -> DataFrame:
+def with_quality(
+    docs: DataFrame, quality: str = "_quality", keep: Sequence[str] | None = None
+) -> DataFrame:
     """``docs`` with a struct column: counts, ``base_failed`` and ``kept`` of each row.
 
+    ``keep`` names the columns to return, all by default. The rows are measured once and
+    written with those columns; references and verdicts start from there.
+
     Base rules: fewer than ``MIN_WORDS`` words, or more than ``REPEAT_PERCENT`` % of the
     words inside repeated three-word windows. A document that passes them is kept unless a
     histogram with enough words behind it is too far from its language's reference.
@@ -56,8 +63,9 @@ def with_quality(docs: DataFrame, quality: str = "_quality") -> DataFrame:
     language has no document that passes the base rules there is nothing to compare. Equal
     rows get equal results; an empty table gives no rows.
     """
-    measured = _measured(docs)
-    return _judged(measured, _references(measured), docs.columns, quality)
+    keep = list(docs.columns if keep is None else keep)
+    measured = written(_measured(docs, keep), "quality")
+    return _judged(measured, _references(measured), keep, quality)
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
@@ -66,7 +74,7 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     return with_quality(docs, quality).where(f"`{quality}`.kept").drop(quality)
 
 
-def _measured(docs: DataFrame) -> DataFrame:
+def _measured(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.filter(F.split(text, SPACES), lambda w: w != "")
     plain = F.lower(F.translate(text, PUNCTUATION, ""))
@@ -74,7 +82,7 @@ def _measured(docs: DataFrame) -> DataFrame:
     n_chars = F.length(text)
     in_class = [n_chars - F.length(F.translate(text, c, "")) for c in (SPACE, *CLASSES)]
     common = F.filter(F.split(plain, SPACES), lambda w: w.isin(ALL_COMMON))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc")
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
     read = docs.select(
         row, lang.alias("lang"), words.alias("words"), common.alias("common"),
@@ -117,8 +125,7 @@ def _measured(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.array(space, symbols, *others, rest).alias("char_counts"),
     )
-    # As a generator's output the measures are taken once per row: a filter on them would
-    # otherwise be pushed down to the scan with copies of all that they are computed from.
+    # A generator's output is computed once, whatever refers to it.
     counted = found.select("doc", "lang", "n_chars", F.inline(F.array(measures)))
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat") > REPEAT_PERCENT * F.col("n_words")

@@ -69,7 +69,7 @@ def _benchmark_hits(spark, sf):
 
 def _quality_rules(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
-    return with_quality(docs).select("doc_id", "_quality.*")
+    return with_quality(docs, keep=["doc_id"]).select("doc_id", "_quality.*")
 
 
 def _near_duplicates(spark, sf):
