@@ -78,9 +78,13 @@ def _near_duplicates(spark, sf):
 
 def _chat_windows(spark, sf):
     turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    added = [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
-    turns = turns.unionByName(spark.createDataFrame(added, turns.schema))
-    return read_digest(chat_windows(turns))
+    added = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return read_digest(chat_windows(turns.unionByName(added)))
 
 
 QUERIES = {
