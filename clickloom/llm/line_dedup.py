@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.batches import free_name
+from clickloom.llm.batches import free_name, written
 from clickloom.operators.skew import key_copy
 
 MIN_SITES = 5
@@ -22,8 +22,6 @@ LG_SKETCH = 12
 # Sketches of 4,096 entries err by 1.6 % (one sigma): half as much again is far off.
 NEAR = (0.5, 1.5)
 
-_SPACE = r"[ \x09-\x0D]+"
-
 
 def with_line_spread(
     docs: DataFrame,
@@ -44,25 +42,26 @@ def with_line_spread(
     treated alike. An empty table gives no rows.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    keyed = docs.select(
-        row,
-        F.col("doc_id").alias("doc_id"),
-        F.xxhash64("doc_id", "text").alias("k1"),
-        F.xxhash64("text", F.lit(1), "doc_id").alias("k2"),
-        F.split("text", "\n").alias("lines"),
-    )
-    lines = _line_rows(docs, site_col, min_words)
+    lines = written(_line_rows(docs, site_col, min_words), "lines")
     removed = _occurrences(lines, _spread_lines(lines, min_sites))
     places = removed.groupBy("k1", "k2").agg(F.collect_set("place").alias("places"))
-    joined = keyed.join(places, ["k1", "k2"], "left")
+    joined = docs.select(row, *_row_key()).join(places, ["k1", "k2"], "left")
+    text = F.col("doc")["text"]
+    cut = joined.select(
+        "doc", "places", F.when(F.col("places").isNotNull(), F.split(text, "\n")).alias("lines")
+    )
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "places")
-    kept = F.transform(stay, lambda i: F.get("lines", i))
-    text = F.when(F.col("places").isNull(), F.col("doc")["text"]).otherwise(F.array_join(kept, "\n"))
-    n_lines = F.coalesce(F.greatest(F.size("lines"), F.lit(0)), F.lit(0)).cast("long")
-    n_removed = F.coalesce(F.greatest(F.size("places"), F.lit(0)), F.lit(0)).cast("long")
-    shown = [text.alias(c) if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns]
-    counts = F.struct(n_lines.alias("n_lines"), n_removed.alias("n_removed"))
-    return joined.select(*shown, counts.alias(spread))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
+    n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    result = F.struct(
+        F.when(F.col("places").isNull(), text).otherwise(kept).alias("kept_text"),
+        F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.array_size("places"), F.lit(0)).cast("long").alias("n_removed"),
+    )
+    # A generator's output is computed once; a filter on it is not pushed below it.
+    made = cut.select("doc", F.inline(F.array(result)))
+    shown = [F.col("kept_text" if c == "text" else f"doc.`{c}`").alias(c) for c in docs.columns]
+    return made.select(*shown, F.struct("n_lines", "n_removed").alias(spread))
 
 
 def without_spread_lines(docs: DataFrame, site_col: str = "source") -> DataFrame:
@@ -77,16 +76,24 @@ def without_spread_lines(docs: DataFrame, site_col: str = "source") -> DataFrame
     return cleaned.where((F.col(f"`{spread}`.n_removed") == 0) | said).drop(spread)
 
 
-def _line_rows(docs: DataFrame, site_col: str, min_words: int) -> DataFrame:
-    """(row key, place, line hash, site, doc_id) of each line long enough to count."""
-    rows = docs.select(
-        "doc_id",
+def _row_key() -> list[Column]:
+    return [
         F.xxhash64("doc_id", "text").alias("k1"),
         F.xxhash64("text", F.lit(1), "doc_id").alias("k2"),
-        F.coalesce(F.col(site_col).cast("string"), F.lit("\0")).alias("site"),
-        F.posexplode(F.split("text", "\n")).alias("place", "line"),
+    ]
+
+
+def _line_rows(docs: DataFrame, site_col: str, min_words: int) -> DataFrame:
+    """(row key, place, line hash, site, doc_id) of each line long enough to count."""
+    site = F.coalesce(F.col(site_col).cast("string"), F.lit("\0")).alias("site")
+    # The row key is taken once per document, below the generator.
+    keyed = docs.select("doc_id", site, *_row_key(), F.split("text", "\n").alias("lines"))
+    rows = keyed.select("doc_id", "k1", "k2", "site", F.posexplode("lines").alias("place", "line"))
+    spaced = rows.withColumn("line", F.translate("line", "\t\x0b\x0c\r", "    "))
+    single = F.when(F.instr("line", "  ") == 0, F.col("line"))
+    plain = spaced.withColumn(
+        "line", F.trim(F.coalesce(single, F.regexp_replace("line", " +", " ")))
     )
-    plain = rows.withColumn("line", F.trim(F.regexp_replace("line", _SPACE, " ")))
     spaces = F.length("line") - F.length(F.translate("line", " ", ""))
     long_enough = plain.where((F.length("line") > 0) & (spaces >= min_words - 1))
     return long_enough.select(
