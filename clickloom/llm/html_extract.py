@@ -180,13 +180,16 @@ def extract_pages(
     undecided = F.exists("blocks", lambda b: b["zone"] == UNDECIDED)
     content = F.transform(F.filter("blocks", lambda b: b["zone"] == INSIDE), lambda b: b["text"])
     plain = parsed.where(~undecided).select("page_id", "url", F.array_join(content, "\n").alias("text"))
+    plain = plain.withColumn("n_chars", F.length("text").cast("long"))
+    if parsed.where(undecided).isEmpty():
+        return plain
     covered = _covered(parsed, undecided, run_tokens, min_pages)
     open_pages = parsed.where(undecided).join(covered, "row", "left")
     judged = open_pages.select("page_id", "url", "blocks", "starts").mapInPandas(
         lambda frames: _unique_runs(frames, run_tokens),
         f"page_id {types['page_id']}, url {types['url']}, text string",
     )
-    return plain.unionByName(judged).withColumn("n_chars", F.length("text").cast("long"))
+    return plain.unionByName(judged.withColumn("n_chars", F.length("text").cast("long")))
 
 
 def _covered(parsed: DataFrame, undecided, run_tokens: int, min_pages: int) -> DataFrame:
