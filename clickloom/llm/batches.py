@@ -46,12 +46,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, **options) -> DataFrame:
     """Write ``df`` below the folder the cluster shares and read it again.
 
     What follows starts from files: it is not computed twice, and a lost executor costs
     no more than the task it ran.
     """
     path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)

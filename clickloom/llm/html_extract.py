@@ -176,48 +176,46 @@ def extract_pages(
         "blocks array<struct<zone:int,text:string>>"
     )
     parsed = named.mapInPandas(_parse, schema).withColumn("row", F.monotonically_increasing_id())
-    parsed = written(parsed, "page-blocks")
+    # Every text is written once here; zstandard makes it smaller than the default would.
+    parsed = written(parsed, "page-blocks", compression="zstd")
+    marks = written(host_marks(parsed, run_tokens, min_pages), "page-marks")
     undecided = F.exists("blocks", lambda b: b["zone"] == UNDECIDED)
     content = F.transform(F.filter("blocks", lambda b: b["zone"] == INSIDE), lambda b: b["text"])
     plain = parsed.where(~undecided).select("page_id", "url", F.array_join(content, "\n").alias("text"))
-    plain = plain.withColumn("n_chars", F.length("text").cast("long"))
-    if parsed.where(undecided).isEmpty():
-        return plain
-    covered = _covered(parsed, undecided, run_tokens, min_pages)
-    open_pages = parsed.where(undecided).join(covered, "row", "left")
+    open_pages = parsed.where(undecided).join(marks, "row", "left")
     judged = open_pages.select("page_id", "url", "blocks", "starts").mapInPandas(
         lambda frames: _unique_runs(frames, run_tokens),
         f"page_id {types['page_id']}, url {types['url']}, text string",
     )
-    return plain.unionByName(judged.withColumn("n_chars", F.length("text").cast("long")))
+    return plain.unionByName(judged).withColumn("n_chars", F.length("text").cast("long"))
 
 
-def _covered(parsed: DataFrame, undecided, run_tokens: int, min_pages: int) -> DataFrame:
-    """(row, starts): where long runs that other pages of the host share begin."""
+def host_marks(parsed: DataFrame, run_tokens: int = RUN_TOKENS, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(row, starts): where runs of a page's stream begin that the host's other pages share.
+
+    The streams of all pages count, whatever structure says of their blocks; a page without
+    such runs has no row. A suffix goes by a hash of its host and first tokens, so suffixes
+    are dealt by their leading tokens and a hot host is spread.
+    """
     outside = F.filter("blocks", lambda b: b["zone"] != INSIDE)
     # The stream of a page: the words of its blocks, a line end after each block.
     stream = F.flatten(F.transform(outside, lambda b: F.split(F.concat(b["text"], F.lit(" \n")), " ")))
-    hosts = parsed.where(undecided).select(F.col("host").alias("open_host")).distinct()
-    streams = (
-        parsed.join(hosts, F.col("host") == F.col("open_host"), "left_semi")
-        .select("host", "row", undecided.alias("open"), stream.alias("tokens"))
-    )
+    streams = parsed.select("host", "row", stream.alias("tokens"))
     keys = F.when(
         F.size("tokens") >= run_tokens,
         F.transform(
             F.sequence(F.lit(0), F.size("tokens") - run_tokens),
-            lambda i: F.md5(F.array_join(F.slice("tokens", i + 1, run_tokens), " ")),
+            lambda i: F.unhex(
+                F.md5(F.concat_ws(" ", "host", F.slice("tokens", i + 1, run_tokens)).cast("binary"))
+            ),
         ),
     )
-    suffixes = streams.select("host", "row", "open", keys.alias("keys"))
-    once = suffixes.select("host", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = once.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"))
-    shared = shared.where(F.col("n") >= min_pages).select(
-        F.col("host").alias("of_host"), F.col("key").alias("of_key")
-    )
-    placed = suffixes.where("open").select("host", "row", F.posexplode("keys").alias("start", "key"))
-    same = (F.col("host") == F.col("of_host")) & (F.col("key") == F.col("of_key"))
-    hits = placed.join(shared, same, "left_semi")
+    suffixes = streams.select("row", keys.alias("keys"))
+    once = suffixes.select(F.explode(F.array_distinct("keys")).alias("key"))
+    shared = once.groupBy("key").agg(F.count(F.lit(1)).alias("n_pages"))
+    shared = written(shared.where(F.col("n_pages") >= min_pages), "page-runs")
+    placed = suffixes.select("row", F.posexplode("keys").alias("start", "key"))
+    hits = placed.join(shared.select(F.col("key").alias("of")), F.col("key") == F.col("of"), "left_semi")
     return hits.groupBy("row").agg(F.collect_list("start").alias("starts"))
 
 

@@ -4,7 +4,8 @@ import pytest
 from plain import RUN, base_counts, cleaned_lines, hits, windows
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, quality_rules
+from clickloom.llm import decontaminate, html_extract, quality_rules
+from clickloom.llm.batches import written
 from clickloom.llm.decontaminate import hit_report, with_hits, without_passages
 from clickloom.llm.html_extract import INSIDE, OUTSIDE, UNDECIDED, extract_pages, page_blocks
 from clickloom.llm.line_dedup import with_line_spread, without_spread_lines
@@ -171,5 +172,25 @@ def test_repeated_runs_of_a_host_go(spark):
     assert extract_pages(pages.limit(0)).count() == 0
 
 
+def test_host_runs_are_found_where_structure_decides_all(spark, monkeypatch):
+    menu = "home news sport weather travel food music film books contact"
+    page = lambda i, m: f"<nav>{m}</nav><article><p>Story {i}</p></article>"
+    rows = [(i, f"http://a.example/{i}", page(i, menu)) for i in range(4)]
+    rows += [(i, f"http://b.example/{i}", page(i, menu)) for i in (10, 11)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    kept = {}
+
+    def keep(df, purpose, **options):
+        kept[purpose] = written(df, purpose, **options)
+        return kept[purpose]
+
+    monkeypatch.setattr(html_extract, "written", keep)
+    found = {r.page_id: r.text for r in extract_pages(pages).collect()}
+    assert found == {i: f"Story {i}" for i in [0, 1, 2, 3, 10, 11]}
+    marked = kept["page-marks"].join(kept["page-blocks"], "row")
+    assert {r.page_id: sorted(r.starts) for r in marked.collect()} == {i: [0, 1, 2, 3] for i in range(4)}
+    assert [r.n_pages for r in kept["page-runs"].collect()] == [4] * 4
+
+
 def test_words_of_rules():
     assert RUN.findall("a b \x1cc") == ["a b", "\x1cc"]
