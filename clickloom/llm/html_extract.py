@@ -54,6 +54,9 @@ CHROME_NAMES = {
     "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
 OUTSIDE, INSIDE, UNDECIDED = 0, 1, 2
+# Outside too, but a wrapper that has a chrome word for a name of its own lets ``main`` come
+# back, and one that only has it inside a longer name, or is a form, also ``article``.
+NAMED, LOOSE = 3, 4
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>"
@@ -75,7 +78,7 @@ def page_blocks(text: str | None) -> list[tuple[int, str]]:
         if held:
             said = " ".join(html.unescape("".join(held)).split())
             if said:
-                out.append((zone, said))
+                out.append((OUTSIDE if zone in (NAMED, LOOSE) else zone, said))
             held.clear()
 
     while at < len(source):
@@ -140,7 +143,10 @@ def _implied_end(stack: list[tuple[str, int]], name: str) -> int:
 def _zone_of(name: str, attributes: str, around: int) -> int:
     if around == OUTSIDE:
         return OUTSIDE
-    if name in CHROME and not (name == "header" and around == INSIDE):
+    wrapper = around
+    if name == "form" and around != INSIDE:
+        wrapper = _narrower(around, LOOSE)
+    elif name in CHROME and not (name == "header" and around == INSIDE):
         return OUTSIDE
     role = ""
     if attributes:
@@ -150,12 +156,27 @@ def _zone_of(name: str, attributes: str, around: int) -> int:
                 role = value
             elif key in ("class", "id") and CHROME_NAMES & set(re.split(r"[\s_-]+", value)):
                 if name not in ("html", "body", *CONTENT):
-                    return OUTSIDE
+                    if around == INSIDE:
+                        return OUTSIDE
+                    wrapper = _narrower(wrapper, _named(value))
             elif key == "hidden" or (key == "aria-hidden" and value == "true"):
                 return OUTSIDE
     if role in CHROME_ROLES:
         return OUTSIDE
-    return INSIDE if name in CONTENT or role in CONTENT else around
+    kinds = {name, role} & CONTENT
+    if wrapper == NAMED:
+        return INSIDE if "main" in kinds else NAMED
+    return INSIDE if kinds else wrapper
+
+
+def _narrower(around: int, zone: int) -> int:
+    return NAMED if NAMED in (around, zone) else zone
+
+
+def _named(value: str) -> int:
+    """NAMED if one of the names consists of chrome words alone, else LOOSE."""
+    names = [set(re.split(r"[_-]+", n)) - {""} for n in value.split()]
+    return NAMED if any(n and n <= CHROME_NAMES for n in names) else LOOSE
 
 
 def extract_pages(

@@ -150,6 +150,24 @@ def test_broken_pages_do_not_fail(html):
     assert all(t for _, t in zones(html))
 
 
+@pytest.mark.parametrize(
+    ("html", "inside"),
+    [
+        ("<div class='content-sidebar-wrap'>a<article>b</article>c</div>", ["b"]),
+        ("<div class='has-sidebar'><nav>n</nav><main>b<div class='ad'>x</div></main></div>", ["b"]),
+        ("<form id='aspnet'>a<div><article>b<form>f</form></article></div></form>", ["b"]),
+        ("<div class='page header'><div role='main'>b</div></div>", ["b"]),
+        ("<div class='comments'><div class='comment-list'><article>c</article></div></div>", []),
+        ("<article>b<div class='comment-list'><article>c</article></div></article>", ["b"]),
+        ("<form hidden><article>c</article></form><aside><main>c</main></aside>", []),
+    ],
+)
+def test_content_inside_a_wrapper_with_a_chrome_name(html, inside):
+    found = zones(html)
+    assert [t for z, t in found if z == INSIDE] == inside
+    assert all(z in (INSIDE, OUTSIDE) for z, _ in found)
+
+
 def test_pages_by_structure(table):
     pages = table("pages")
     found = {r.page_id: r for r in extract_pages(pages).collect()}
