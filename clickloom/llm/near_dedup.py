@@ -33,9 +33,10 @@ SIMILARITY = 0.8
 RECALL = 0.99999
 # Bytes of the sketch; a sketch's estimate errs by 0.035 (one sigma) at a similarity of 0.8.
 SKETCH = 128
-# Pairs that could be similar enough, and sets so close that one can stand for the other:
-# 1 - CANDIDATE > (1 - SIMILARITY) + (1 - SAME), with four sigma of room.
-CANDIDATE, SAME = 0.4, 0.82
+# How much lower than the similarity asked for a sketch may estimate a pair that has it, and how
+# close sets must be for one to stand for the other. Unequal bytes of sketches are a distance, so
+# bounds of several hops add up: the room is needed once, for the pair itself.
+ROOM, SAME = 0.2, 0.82
 BRANCHES = 4
 LEVELS = 3
 NODE_SETS = 1024
@@ -80,7 +81,7 @@ def near_duplicates(
         ),
         "near-classes",
     )
-    edges = _candidate_edges(classes, trees)
+    edges = _candidate_edges(classes, trees, similarity)
     groups = components(edges)
     links = _exact_links(docs, classes, groups, shingle_words, percent)
     return _labelled(rows, components(links))
@@ -209,13 +210,17 @@ def _powers(n: int) -> np.ndarray:
 # ---- trees ----------------------------------------------------------------------------
 
 
-def _candidate_edges(classes: DataFrame, trees: int) -> DataFrame:
-    """A forest of pairs (a, b) whose components hold all pairs that may be similar."""
+def _candidate_edges(classes: DataFrame, trees: int, similarity: float) -> DataFrame:
+    """A forest of pairs (a, b) whose components hold all pairs that may be similar.
+
+    A row carries the radius of its set: how far at most, over all hops, are those it stands for.
+    """
     token = lambda i: F.substr("paths", 8 * i + 1, F.lit(8))
     roots = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
     rows = classes.select("cls", "paths", roots.alias("tree")).select(
-        "cls", F.concat(F.col("tree").cast("string").cast("binary"), token(F.col("tree"))).alias("node")
-    )
+        "cls", F.concat(F.col("tree").cast("string").cast("binary"), token(F.col("tree"))).alias("node"),
+        F.lit(0).alias("radius"),
+    )
     edges, level = [], 0
     while True:
         last = level == LEVELS - 1
@@ -224,18 +229,19 @@ def _candidate_edges(classes: DataFrame, trees: int) -> DataFrame:
         members = rows.join(shared, F.col("node") == key_copy("of")).join(
             classes.select("cls", "sketch"), "cls"
         )
-        found = written(_compared(members, last), f"near-level-{level}")
+        found = written(_compared(members, last, similarity), f"near-level-{level}")
         edges.append(found.where(F.col("b").isNotNull()).select("a", "b"))
-        distinct = found.where(F.col("b").isNull()).select(F.col("a").alias("cls"), "node")
+        distinct = found.where(F.col("b").isNull()).select(F.col("a").alias("cls"), "node", "radius")
         if last or distinct.isEmpty():
             break
         first = trees + BRANCHES * level
         further = F.explode(F.sequence(F.lit(first), F.lit(first + BRANCHES - 1)))
         rows = (
             distinct.join(classes.select("cls", "paths"), "cls")
-            .select("cls", "node", "paths", further.alias("tree"))
+            .select("cls", "node", "radius", "paths", further.alias("tree"))
             .select("cls", F.md5(F.concat("node", F.col("tree").cast("string").cast("binary"),
-                                          token(F.col("tree")))).cast("binary").alias("node"))
+                                          token(F.col("tree")))).cast("binary").alias("node"),
+                    "radius")
         )
         level += 1
     out = edges[0]
@@ -244,8 +250,8 @@ def _candidate_edges(classes: DataFrame, trees: int) -> DataFrame:
     return out.distinct()
 
 
-def _compared(members: DataFrame, last: bool) -> DataFrame:
-    """Edges (a, b, null) of each node, and (a, null, node) of what has to go further down.
+def _compared(members: DataFrame, last: bool, similarity: float) -> DataFrame:
+    """Edges (a, b) of each node, and (a, node, radius) of what has to go further down.
 
     A node of at most ``NODE_SETS`` sets is finished by this. A larger one is dealt into
     parts; on the last level each part is compared with each other part, which is exact
@@ -253,20 +259,21 @@ def _compared(members: DataFrame, last: bool) -> DataFrame:
     """
     parts = F.ceil(F.col("n") / NODE_SETS).cast("int")
     part = F.pmod(F.xxhash64("cls"), parts).cast("int")
-    dealt = members.select("cls", "sketch", "node", parts.alias("parts"), part.alias("part"))
+    dealt = members.select("cls", "sketch", "radius", "node", parts.alias("parts"), part.alias("part"))
     if last:
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         dealt = dealt.withColumn("other", other)
     else:
         dealt = dealt.withColumn("other", F.col("part"))
     keyed = dealt.select(
-        "cls", "sketch", "node", "parts",
+        "cls", "sketch", "radius", "node", "parts",
         F.least("part", "other").alias("p1"), F.greatest("part", "other").alias("p2"),
     )
     keys = ["node", "p1", "p2"]
     ordered = keyed.repartition(*keys).sortWithinPartitions(*keys, "cls")
-    schema = "a binary, b binary, node binary"
-    return ordered.mapInPandas(partial(_compare_nodes, last=last), schema)
+    schema = "a binary, b binary, node binary, radius int"
+    compare = partial(_compare_nodes, last=last, similarity=similarity)
+    return ordered.mapInPandas(compare, schema)
 
 
 def _node_groups(frames, keys):
@@ -287,30 +294,40 @@ def _node_groups(frames, keys):
         yield held
 
 
-def _compare_nodes(frames, last):
+def _compare_nodes(frames, last, similarity=SIMILARITY):
+    columns = ["a", "b", "node", "radius"]
     out: list[tuple] = []
     for group in _node_groups(frames, ["node", "p1", "p2"]):
         names = group["cls"]
         sketches = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(names), SKETCH)
-        pairs, distinct = sketch_forest(sketches)
-        out += [(names[a], names[b], None) for a, b in pairs]
+        radius = group["radius"].astype(np.int64)
+        pairs, distinct = sketch_forest(sketches, radius, similarity)
+        out += [(names[a], names[b], None, None) for a, b in pairs]
         if not last and group["parts"][0] > 1:
-            out += [(names[a], None, group["node"][0]) for a in distinct]
+            out += [(names[a], None, group["node"][0], int(radius[a])) for a in distinct]
         if len(out) > 10_000:
-            yield pd.DataFrame(out, columns=["a", "b", "node"])
+            yield pd.DataFrame(out, columns=columns).astype({"radius": "Int32"})
             out = []
     if out:
-        yield pd.DataFrame(out, columns=["a", "b", "node"])
+        yield pd.DataFrame(out, columns=columns).astype({"radius": "Int32"})
 
 
-def sketch_forest(sketches: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
+def sketch_forest(
+    sketches: np.ndarray, radius: np.ndarray | None = None, similarity: float = SIMILARITY
+) -> tuple[list[tuple[int, int]], list[int]]:
     """(spanning forest of the candidate pairs, sets that no other set can stand for).
 
     Sets are taken in order and compared with all distinct ones so far. One that is the
     same as a distinct set but for a few shingles gets an edge to it and is left out from
-    then on: whatever is similar to it is a candidate of the set that stands for it.
+    then on. ``radius`` has the distance in bytes to the farthest set that each stands for
+    already, and is brought up to date. A set is left out only if its radius and the hop stay
+    within ``SAME`` together, and two sets are candidates if any two that they stand for may
+    be similar, so a pair is not lost with one end or both stood for, over any number of hops.
     """
-    same, candidate = math.ceil(SAME * SKETCH), math.ceil(CANDIDATE * SKETCH)
+    reach = SKETCH - math.ceil(round((similarity - ROOM) * SKETCH, 6))
+    same = SKETCH - math.ceil(SAME * SKETCH)
+    if radius is None:
+        radius = np.zeros(len(sketches), np.int64)
     root = list(range(len(sketches)))
 
     def find(x):
@@ -322,16 +339,24 @@ def sketch_forest(sketches: np.ndarray) -> tuple[list[tuple[int, int]], list[int
     edges, distinct = [], [0]
     pivots = np.empty_like(sketches)
     pivots[0] = sketches[0]
+    # The radius of each distinct set, beside its sketch.
+    around = np.empty(len(sketches), np.int64)
+    around[0] = radius[0]
     for i in range(1, len(sketches)):
-        equal = np.count_nonzero(pivots[: len(distinct)] == sketches[i], axis=1)
-        for p in np.flatnonzero(equal >= candidate).tolist():
+        n = len(distinct)
+        gap = np.count_nonzero(pivots[:n] != sketches[i], axis=1)
+        for p in np.flatnonzero(gap <= reach + around[:n] + radius[i]).tolist():
             a, b = find(distinct[p]), find(i)
             if a != b:
                 root[b] = a
                 edges.append((distinct[p], i))
-        if equal.max() < same:
-            pivots[len(distinct)] = sketches[i]
+        p = int(gap.argmin())
+        if gap[p] + radius[i] <= same:
+            around[p] = max(around[p], gap[p] + radius[i])
+        else:
+            pivots[n], around[n] = sketches[i], radius[i]
             distinct.append(i)
+    radius[distinct] = around[: len(distinct)]
     return edges, distinct
 
 

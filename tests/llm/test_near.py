@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from plain import near_components
 
@@ -88,6 +89,56 @@ def test_forest_of_sketches_spans_similar_sets():
     assert len(edges) == 12 and distinct == [0, 5, 10]
 
 
+def far_ends():
+    """Sketches p, a, b, q: p and a differ in 23 bytes, a and b in 44 (a pair of 0.8 that is
+    estimated four sigma low), b and q in 23."""
+    at = np.zeros((4, near_dedup.SKETCH), np.uint8)
+    at[1:, :23] = 1
+    at[2:, 23:67] = 1
+    at[3:, 67:90] = 1
+    return at
+
+
+def test_a_pair_with_both_ends_stood_for_is_a_candidate():
+    p, a, b, q = far_ends()
+    node = {"parts": 2, "node": b"n", "radius": 0}
+    rows = [("p", p, 0), ("a", a, 0), ("q", q, 1), ("b", b, 1)]
+    frame = pd.DataFrame(
+        [node | {"cls": c.encode(), "sketch": s.tobytes(), "p1": n, "p2": n} for c, s, n in rows]
+    )
+    found = pd.concat(near_dedup._compare_nodes([frame], last=False))
+    assert {(r.a, r.b) for r in found.itertuples() if r.b} == {(b"p", b"a"), (b"q", b"b")}
+    left = found[found["b"].isna()]
+    assert dict(zip(left["a"], left["radius"])) == {b"p": 23, b"q": 23}
+    below = frame.merge(left[["a", "radius"]], left_on="cls", right_on="a", suffixes=("_", ""))
+    below = below.assign(parts=1, p1=0, p2=0)
+    assert [(r.a, r.b) for r in pd.concat(near_dedup._compare_nodes([below], last=False)).itertuples()] == [
+        (b"p", b"q")
+    ]
+
+
+def test_hops_of_standing_add_up():
+    sketches = np.zeros((2, near_dedup.SKETCH), np.uint8)
+    sketches[1, :20] = 1
+    assert sketch_forest(sketches)[1] == [0]
+    radius = np.array([0, 20])
+    assert sketch_forest(sketches, radius) == ([(0, 1)], [0, 1]) and radius.tolist() == [0, 20]
+
+
+def test_a_drifting_family_of_thousands(make_docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NODE_SETS", 64)
+    monkeypatch.setattr(near_dedup, "GROUP_SETS", 256)
+    rng = random.Random(6)
+    words, texts = [f"w{i}" for i in range(80)], []
+    for i in range(2500):
+        words[rng.randrange(80)] = f"new{i}"
+        words[rng.randrange(80)] = f"now{i}" if i % 50 == 0 else words[0]
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    check(near_duplicates(make_docs(rows), 4).collect(), rows, 4)
+
+
 def test_links_are_exact_for_random_sets():
     rng = np.random.default_rng(5)
     sets = []
