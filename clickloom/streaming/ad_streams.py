@@ -50,6 +50,7 @@ class AdTables:
         self.accepted = table("accepted_click", schemas.AD_CLICK)
         self.passed = table("passed_click", schemas.AD_CLICK)
         self.rejected = table("rejected_line", LINES)
+        self.passed_rejected = table("passed_rejected_line", LINES)
         self.user_click_count = table(
             "ad_user_click_count", schemas.AD_USER_CLICK_COUNT, sum_by_key(USER_AD_KEYS)
         )
@@ -109,12 +110,14 @@ def start_blacklist_filter(
 ) -> StreamingQuery:
     """Keep clicks of users not on a list kept elsewhere, read anew for each micro-batch.
 
-    What passes goes to ``tables.passed``.
+    What passes goes to ``tables.passed``, lines that are broken or too far ahead of the clock
+    to ``tables.passed_rejected``.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         clicks = parse_ad_log(batch, max_ahead)
         tables.passed.write(without_blacklisted(clicks, read_blacklist()), batch_id)
+        tables.passed_rejected.write(rejected_ad_log(batch, max_ahead), batch_id)
 
     return _start(lines, on_batch, tables.checkpoint("blacklist_filter"), trigger)
 
@@ -124,14 +127,15 @@ def start_dynamic_blacklist(
     tables: AdTables,
     threshold: int = BLACKLIST_THRESHOLD,
     trigger: dict | None = None,
-    keep_rejected: bool = False,
+    keep_rejected: bool = True,
     max_ahead: str | None = MAX_AHEAD,
 ) -> StreamingQuery:
     """Filter by the list, add up clicks per (date, user, ad), list users over the threshold.
 
     A user listed by one micro-batch is filtered from the next one on. Each step reads
     what the step before stored, so the batch itself is parsed once. Lines whose time is
-    more than ``max_ahead`` ahead of the clock are rejected like broken ones.
+    more than ``max_ahead`` ahead of the clock are rejected like broken ones, and kept in
+    ``tables.rejected``.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:

@@ -100,6 +100,18 @@ def test_listed_user_is_filtered_from_the_next_batch_on(spark, tmp_path):
     assert _rows(tables.rejected.table()) == [("broken",)]
 
 
+def test_lines_ahead_of_the_clock_are_kept_by_default(spark, tmp_path):
+    ahead = f"{4_000_000_000_000} P C 2 1"
+    _drop(tmp_path / "in", 0, ["0 P C 1 1", ahead, "broken"])
+    tables = _tables(spark, tmp_path)
+    source = file_lines(spark, str(tmp_path / "in"), 1)
+    none = spark.createDataFrame([], "user_id long")
+    ad_streams.start_blacklist_filter(source, lambda: none, tables, NOW).awaitTermination()
+    ad_streams.start_dynamic_blacklist(source, tables, 3, NOW).awaitTermination()
+    for table in (tables.passed_rejected, tables.rejected):
+        assert _rows(table.table()) == [(ahead,), ("broken",)]
+
+
 def test_outside_blacklist_is_read_anew_for_each_batch(spark, tmp_path):
     for i in range(3):
         _drop(tmp_path / "in", i, ["0 P C 1 1", "0 P C 2 1"])
