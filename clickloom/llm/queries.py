@@ -16,8 +16,9 @@ from clickloom.llm.line_dedup import with_line_spread
 from clickloom.llm.near_dedup import near_duplicates
 from clickloom.llm.oracles import ORACLES as ORACLES
 from clickloom.llm.packing import packed_documents
+from clickloom.llm.periodic_runs import longest_run, with_runs
 from clickloom.llm.quality_model import fit_quality, is_held_out, quality_scores
-from clickloom.llm.quality_rules import with_quality
+from clickloom.llm.quality_rules import SPACES, with_quality
 from clickloom.llm.token_counts import token_counts
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -87,6 +88,39 @@ def _chat_windows(spark, sf):
     return read_digest(chat_windows(turns.unionByName(added)))
 
 
+def _planted_periods(docs):
+    """Rows (doc_id, text), a tenth of the texts with a stretch of their words made periodic."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", SPACES), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    start = F.col("g") % n
+    period = 1 + F.floor((n - start) / (3 + F.col("g") % 8))
+    place = lambda i: F.when(i < start, i).otherwise(start + (i - start) % period).cast("int")
+    planted = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", place(i)))
+    text = F.when(n > 0, F.array_join(planted, " ")).otherwise(F.col("text"))
+    return chosen.select("doc_id", text.alias("text"))
+
+
+def _periodic_runs(spark, sf):
+    found = with_runs(_planted_periods(_table(spark, sf, "documents")))
+    runs = F.col("_runs.runs")
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    digest = lambda text: F.sha2(F.encode(text, "UTF-8"), 256)
+    shown = found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        longest_run(runs).alias("best"),
+        digest(F.array_join(lines, "")).alias("runs_sha256"),
+        digest(F.col("_runs.collapsed")).alias("collapsed_sha256"),
+    )
+    return shown.select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES = {
     "op1_token_id_planes": _token_id_planes,
     "op2_token_counts": _token_counts,
@@ -98,6 +132,7 @@ QUERIES = {
     "op8_quality_rules": _quality_rules,
     "op9_near_duplicates": _near_duplicates,
     "op10_chat_windows": _chat_windows,
+    "op12_periodic_runs": _periodic_runs,
 }
 
 
