@@ -12,6 +12,8 @@ from clickloom.llm.chat_windows import chat_windows, read_digest
 from clickloom.llm.decontaminate import hit_report, with_hits
 from clickloom.llm.html_extract import extract_pages
 from clickloom.llm.id_planes import read_token_planes, write_token_planes
+from clickloom.llm.languages import fit_languages, predicted_languages
+from clickloom.llm.languages import is_held_out as is_held_out_language
 from clickloom.llm.line_dedup import with_line_spread
 from clickloom.llm.near_dedup import near_duplicates
 from clickloom.llm.oracles import ORACLES as ORACLES
@@ -121,6 +123,15 @@ def _periodic_runs(spark, sf):
     )
 
 
+def _languages(spark, sf):
+    docs = _table(spark, sf, "documents")
+    found = predicted_languages(docs, fit_languages(docs))
+    return found.select(
+        "doc_id", is_held_out_language("doc_id").alias("held_out"), "lang_pred", "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
 QUERIES = {
     "op1_token_id_planes": _token_id_planes,
     "op2_token_counts": _token_counts,
@@ -133,6 +144,7 @@ QUERIES = {
     "op9_near_duplicates": _near_duplicates,
     "op10_chat_windows": _chat_windows,
     "op12_periodic_runs": _periodic_runs,
+    "op13_languages": _languages,
 }
 
 
