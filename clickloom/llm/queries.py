@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickloom.llm.batches import work_folder
+from clickloom.llm.batches import work_folder, written
 from clickloom.llm.chat_windows import chat_windows, read_digest
 from clickloom.llm.decontaminate import hit_report, with_hits
 from clickloom.llm.html_extract import extract_pages
@@ -19,9 +19,11 @@ from clickloom.llm.near_dedup import near_duplicates
 from clickloom.llm.oracles import ORACLES as ORACLES
 from clickloom.llm.packing import packed_documents
 from clickloom.llm.periodic_runs import longest_run, with_runs
+from clickloom.llm.prefix_trie import prefix_trie, turn_ids
 from clickloom.llm.quality_model import fit_quality, is_held_out, quality_scores
 from clickloom.llm.quality_rules import SPACES, with_quality
 from clickloom.llm.token_counts import token_counts
+from clickloom.operators.skew import key_copy
 
 BYTE_BPE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -132,6 +134,34 @@ def _languages(spark, sf):
     )
 
 
+def rebuilt_turns(turns):
+    """(places, conversations): some first turns of a conversation replaced by another's."""
+    numbered = written(turn_ids(turns), "turn-ids")
+    turn = F.struct("place", "id", "n_bytes")
+    # At most eight turns are taken from the head of a conversation.
+    heads = numbered.where(F.col("place") < 8).groupBy(F.col("conv_id").alias("base")).agg(
+        F.sort_array(F.collect_list(turn)).alias("head")
+    )
+    convs = numbered.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    convs = convs.select(
+        "conv_id", (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int").alias("h"),
+        (F.col("conv_id") - F.col("conv_id") % 5).alias("from"),
+    )
+    joined = convs.join(heads, F.col("from") == F.col("base"), "left")
+    none = F.array().cast("array<struct<place:bigint,id:string,n_bytes:int>>")
+    taken = F.slice(F.coalesce("head", none), F.lit(1), F.col("h"))
+    convs = written(joined.select("conv_id", "h", taken.alias("taken")), "rebuilt")
+    first = convs.select("conv_id", F.inline("taken"))
+    shift = convs.select(key_copy("conv_id").alias("conv"), "h", (F.size("taken") - F.col("h")).alias("shift"))
+    own = numbered.join(shift, F.col("conv_id") == F.col("conv")).where(F.col("place") >= F.col("h"))
+    own = own.select("conv_id", (F.col("place") + F.col("shift")).alias("place"), "id", "n_bytes")
+    return first.unionByName(own), convs.select("conv_id")
+
+
+def _prefix_trie(spark, sf):
+    return prefix_trie(*rebuilt_turns(_table(spark, sf, "conversations")))
+
+
 QUERIES = {
     "op1_token_id_planes": _token_id_planes,
     "op2_token_counts": _token_counts,
@@ -143,6 +173,7 @@ QUERIES = {
     "op8_quality_rules": _quality_rules,
     "op9_near_duplicates": _near_duplicates,
     "op10_chat_windows": _chat_windows,
+    "op11_prefix_trie": _prefix_trie,
     "op12_periodic_runs": _periodic_runs,
     "op13_languages": _languages,
 }
