@@ -43,6 +43,8 @@ COMMON_WORDS = {
     "de": ["der", "die", "das", "und", "in", "den", "von", "zu", "mit", "sich", "ist", "nicht"],
     "es": ["el", "la", "los", "de", "del", "y", "en", "que", "un", "una", "se", "por"],
 }
+# References of so many languages are broadcast, at some 500 bytes each.
+BROADCAST_LANGS = 10_000
 ALL_COMMON = sorted({w for words in COMMON_WORDS.values() for w in words})
 
 
@@ -65,7 +67,12 @@ def with_quality(
     """
     keep = list(docs.columns if keep is None else keep)
     measured = written(_measured(docs, keep), "quality")
-    return _judged(measured, _references(measured), keep, quality)
+    references = written(_references(measured), "quality-references")
+    # Documents are not moved to meet the one row of their language, unless an odd column
+    # makes languages without number.
+    if references.count() <= BROADCAST_LANGS:
+        references = F.broadcast(references)
+    return _judged(measured, references, keep, quality)
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
