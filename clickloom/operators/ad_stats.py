@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.times import format_time, minute_parts
+from clickloom.functions.times import format_date, format_time, minute_parts
 from clickloom.operators.skew import key_copy
 from clickloom.operators.upserts import key_copies, same_keys
 
@@ -80,28 +80,49 @@ def ad_click_trend(clicks: DataFrame) -> DataFrame:
     return with_minute_columns(per_minute)
 
 
+def slide_counts(clicks: DataFrame, slide_seconds: int) -> DataFrame:
+    """Clicks per ad and slide of time; on a stream one row of state for each of them."""
+    slide = F.window("ts", f"{slide_seconds} seconds")
+    counted = clicks.groupBy(slide, "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
+    start = F.col("window.start")
+    return counted.select(
+        format_date(start).alias("date"), start.alias("slide_start"), "ad_id", "click_count"
+    )
+
+
+def windows_of_slides(slides: DataFrame, length_seconds: int, slide_seconds: int) -> DataFrame:
+    """Clicks per ad in windows of ``length`` seconds, one starting every ``slide``.
+
+    Made from counts per slide (see :func:`slide_counts`), which are repeated for the
+    windows they fall into; clicks never are. The length is a whole number of slides.
+    """
+    if length_seconds % slide_seconds:
+        raise ValueError("a window must be a whole number of slides")
+    last = F.unix_timestamp("slide_start")
+    starts = F.sequence(
+        last - (length_seconds - slide_seconds), last, F.lit(slide_seconds).cast("long")
+    )
+    spread = slides.select(F.explode(starts).alias("start"), "ad_id", "click_count")
+    counted = spread.groupBy("start", "ad_id").agg(F.sum("click_count").alias("click_count"))
+    end = F.timestamp_seconds(F.col("start") + length_seconds)
+    return _shown_windows(counted, F.timestamp_seconds("start"), end)
+
+
 def sliding_ad_trend(clicks: DataFrame, length_seconds: int, slide_seconds: int) -> DataFrame:
     """Clicks per ad in windows of ``length``, one starting every ``slide``.
 
     Where the length is a whole number of slides, clicks are counted per slide first
-    and only those counts are repeated for the windows they fall into. A stream, which
-    can hold the state of one aggregate here, repeats the clicks.
+    and only those counts are repeated for the windows they fall into.
     """
-    slide = f"{slide_seconds} seconds"
-    if clicks.isStreaming or length_seconds % slide_seconds:
-        window = F.window("ts", f"{length_seconds} seconds", slide)
-        counted = clicks.groupBy(window, "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
-        start, end = F.col("window.start"), F.col("window.end")
-    else:
-        bins = clicks.groupBy(F.window("ts", slide), "ad_id").agg(F.count(F.lit(1)).alias("n"))
-        last = F.unix_timestamp("window.start")
-        starts = F.sequence(
-            last - (length_seconds - slide_seconds), last, F.lit(slide_seconds).cast("long")
-        )
-        spread = bins.select(F.explode(starts).alias("start"), "ad_id", "n")
-        counted = spread.groupBy("start", "ad_id").agg(F.sum("n").alias("click_count"))
-        start = F.timestamp_seconds("start")
-        end = F.timestamp_seconds(F.col("start") + length_seconds)
+    if length_seconds % slide_seconds == 0:
+        slides = slide_counts(clicks, slide_seconds)
+        return windows_of_slides(slides, length_seconds, slide_seconds)
+    window = F.window("ts", f"{length_seconds} seconds", f"{slide_seconds} seconds")
+    counted = clicks.groupBy(window, "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
+    return _shown_windows(counted, F.col("window.start"), F.col("window.end"))
+
+
+def _shown_windows(counted: DataFrame, start: Column, end: Column) -> DataFrame:
     return counted.select(
         format_time(start).alias("window_start"),
         format_time(end).alias("window_end"),

@@ -1,4 +1,4 @@
-"""The real-time ad job: the four streams, each with its own checkpoint."""
+"""The real-time ad job: the five streams, each with its own checkpoint."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from clickloom.streaming.ad_streams import (
     start_ad_click_trend,
     start_ad_stat,
     start_dynamic_blacklist,
+    start_province_top,
     start_sliding_trend,
 )
 
@@ -21,23 +22,24 @@ def start_ad_job(
     threshold: int = BLACKLIST_THRESHOLD,
     late_after: str | None = None,
     trigger: dict | None = None,
-    window_seconds: int = 3600,
     slide_seconds: int = 10,
     state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Filter and list users on the log; count and rank what the filter lets pass.
 
     ``lines`` comes from ``kafka_lines`` or ``file_lines``. The counting streams follow
-    the accepted clicks one micro-batch behind. Nothing is dropped for being late unless
-    ``late_after`` is given.
+    the accepted clicks one micro-batch behind. Nothing is late unless ``late_after`` is
+    given; late clicks then are in ``tables.late``.
     """
-    filtering = start_dynamic_blacklist(lines, tables, threshold, trigger, keep_rejected=True)
-    accepted = tables.accepted.stream()
-    counting = start_ad_stat(
-        accepted, tables, late_after=late_after, trigger=trigger, state_partitions=state_partitions
-    )
-    trend = start_ad_click_trend(accepted, tables, late_after, trigger, state_partitions)
-    sliding = start_sliding_trend(
-        accepted, tables, window_seconds, slide_seconds, late_after, trigger, state_partitions
+    filtering = start_dynamic_blacklist(
+        lines, tables, threshold, trigger, late_after=late_after, state_partitions=state_partitions
     )
-    return [filtering, counting, trend, sliding]
+    accepted = tables.accepted.stream()
+    more = {"late_after": late_after, "trigger": trigger, "state_partitions": state_partitions}
+    return [
+        filtering,
+        start_ad_stat(accepted, tables, **more),
+        start_province_top(accepted, tables, **more),
+        start_ad_click_trend(accepted, tables, **more),
+        start_sliding_trend(accepted, tables, slide_seconds, **more),
+    ]

@@ -42,51 +42,38 @@ def _blacklist_filter(spark, sf):
         lines, lambda: spark.read.parquet(path), tables, ALL_NOW
     )
     query.awaitTermination()
-    return ads.shown(tables.passed.table())
+    return ads.shown(tables.passed())
 
 
 def _dynamic_blacklist(spark, sf):
     tables, lines = _tables(spark), _staged_log(spark, sf)
-    ad_streams.start_dynamic_blacklist(lines, tables, i.BLACKLIST_CLICKS, ALL_NOW).awaitTermination()
-    return tables.blacklist.table()
-
-
-def _run_ad_stat(spark, sf):
-    tables, lines = _tables(spark), _staged_log(spark, sf)
-    clicks = parse_ad_log(lines)
-    query = ad_streams.start_ad_stat(
-        clicks, tables, trigger=ALL_NOW, state_partitions=_state_partitions(spark)
+    query = ad_streams.start_dynamic_blacklist(
+        lines, tables, i.BLACKLIST_CLICKS, ALL_NOW, state_partitions=_state_partitions(spark)
     )
     query.awaitTermination()
-    return tables
+    return tables.blacklist.table()
 
 
-def _ad_click_trend(spark, sf):
+def _counted(spark, sf, start, **more):
+    """The tables after a counting stream has read the whole log."""
     tables, lines = _tables(spark), _staged_log(spark, sf)
-    clicks = parse_ad_log(lines)
-    query = ad_streams.start_ad_click_trend(
-        clicks, tables, trigger=ALL_NOW, state_partitions=_state_partitions(spark)
-    )
+    partitions = _state_partitions(spark)
+    query = start(parse_ad_log(lines), tables, trigger=ALL_NOW, state_partitions=partitions, **more)
     query.awaitTermination()
-    return tables.trend.table()
+    return tables
 
 
 def _sliding_trend(spark, sf):
-    tables, lines = _tables(spark), _staged_log(spark, sf)
-    clicks = parse_ad_log(lines)
-    query = ad_streams.start_sliding_trend(
-        clicks, tables, 3600, 600, trigger=ALL_NOW, state_partitions=_state_partitions(spark)
-    )
-    query.awaitTermination()
-    return tables.sliding_trend.table()
+    tables = _counted(spark, sf, ad_streams.start_sliding_trend, slide_seconds=600)
+    return tables.sliding_trend(3600, 600)
 
 
 QUERIES = {
     "stream_blacklist_filter": _blacklist_filter,
     "stream_dynamic_blacklist": _dynamic_blacklist,
-    "stream_ad_stat": lambda s, d: _run_ad_stat(s, d).stat.table(),
-    "stream_province_top3": lambda s, d: _run_ad_stat(s, d).province_top3.table(),
-    "stream_ad_click_trend": _ad_click_trend,
+    "stream_ad_stat": lambda s, d: _counted(s, d, ad_streams.start_ad_stat).stat.table(),
+    "stream_province_top3": lambda s, d: _counted(s, d, ad_streams.start_province_top).province_top3(),
+    "stream_ad_click_trend": lambda s, d: _counted(s, d, ad_streams.start_ad_click_trend).trend.table(),
     "stream_sliding_ad_trend": _sliding_trend,
 }
 

@@ -61,11 +61,10 @@ AD_PROVINCE_TOP3 = columns(
 AD_CLICK_TREND = columns(
     "date string, hour string, minute string, ad_id bigint, click_count bigint"
 )
-
-
 AD_SLIDING_TREND = columns(
     "window_start string, window_end string, ad_id bigint, click_count bigint"
 )
+AD_SLIDE_COUNT = columns("date string, slide_start timestamp, ad_id bigint, click_count bigint")
 
 
 def as_schema(df, schema: StructType):

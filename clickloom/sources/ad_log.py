@@ -48,6 +48,19 @@ def parse_ad_log(lines: DataFrame, max_ahead: str | None = None) -> DataFrame:
     return clicks.select("ts", date, "province", "city", "user_id", "ad_id")
 
 
+def split_ad_log(lines: DataFrame, max_ahead: str | None = None) -> DataFrame:
+    """Every line once: ``value``, the click in it, and ``accepted``, whether it is well-formed.
+
+    On a stream, use this before ``foreachBatch``: the clock is then the time of the micro-batch
+    that Spark has put on record, the same for all rows and for a batch that is repeated.
+    """
+    complete = F.coalesce(_is_complete(max_ahead), F.lit(False)).alias("accepted")
+    row = F.struct("value", "ts", "province", "city", "user_id", "ad_id", complete)
+    rows = _fields(lines).select(F.inline(F.array(row)))
+    date = format_date("ts").alias("date")
+    return rows.select("value", "ts", date, "province", "city", "user_id", "ad_id", "accepted")
+
+
 def rejected_ad_log(lines: DataFrame, max_ahead: str | None = None) -> DataFrame:
     """The lines that :func:`parse_ad_log` leaves out, as they came."""
     return _fields(lines).where(~F.coalesce(_is_complete(max_ahead), F.lit(False))).select("value")

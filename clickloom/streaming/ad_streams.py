@@ -1,21 +1,25 @@
 """The ad-click streams.
 
-    log lines -> blacklist filter -> accepted clicks -> running counts, top ads per province
-                    ^        |                      -> clicks per minute
-                    +- list <+
-
-The first query works on whole micro-batches, since each must see the list as the
-batch before left it. The others follow the accepted clicks and keep running counts in
-the state store, so a micro-batch costs what its own rows cost.
+    log lines -> filter by user -> accepted clicks -> running counts
+                 (keyed state)                     -> top ads per province (keyed state)
+                    |                              -> clicks per minute, clicks per slide
+                    +-> rejected lines, late clicks, totals per user and ad, listed users
+
+The filter remembers each user's totals and whether the user is listed, and writes all it
+gives out through one file sink. The other streams follow the accepted clicks and keep
+running counts in the state store, so a micro-batch costs what its own rows cost and no
+table is read back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import ArrayType, LongType
 
 from clickloom import schemas
 from clickloom.operators.ad_stats import (
@@ -23,64 +27,125 @@ from clickloom.operators.ad_stats import (
     USER_AD_KEYS,
     ad_click_trend,
     ad_stat,
-    daily_user_ad_clicks,
-    province_ad_clicks,
-    province_top_ads,
-    sliding_ad_trend,
-    users_over_threshold,
+    slide_counts,
+    windows_of_slides,
     without_blacklisted,
 )
-from clickloom.operators.upserts import append_new
-from clickloom.sources.ad_log import parse_ad_log, rejected_ad_log
-from clickloom.streaming.batch_log import BatchLog, last_by_key, last_group, sum_by_key
+from clickloom.sources.ad_log import split_ad_log
+from clickloom.streaming.keyed_state import CLICK, OUTCOME, TOP_ADS, ClickFilter, TopAds
+from clickloom.streaming.tables import BatchTable, SinkTable
 
 # How far a click's time may be ahead of the clock.
 MAX_AHEAD = "1 HOUR"
 LINES = schemas.columns("value string")
+FILTERED = schemas.columns(
+    "value string, ts timestamp, date string, province string, city string, user_id bigint, "
+    "ad_id bigint, click_count bigint, kind string"
+)
+CHECKED = schemas.columns(
+    "value string, ts timestamp, date string, province string, city string, user_id bigint, "
+    "ad_id bigint, outcome string"
+)
+PROVINCE_SLOTS = schemas.columns("date string, province string, slot bigint, version bigint")
+for _name in ("ad_ids", "click_counts"):
+    PROVINCE_SLOTS.add(_name, ArrayType(LongType()))
+# A province's ads are dealt to so many keys of state.
+SLOTS = 16
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _largest(*keys: str) -> Callable[[DataFrame], DataFrame]:
+    """Running counts as they stand: they only grow."""
+    return lambda log: log.groupBy(*keys).agg(F.max("click_count").alias("click_count"))
+
+
+def _latest_slots(log: DataFrame) -> DataFrame:
+    newest = F.max_by(F.struct("version", "ad_ids", "click_counts"), "version").alias("newest")
+    slots = log.groupBy("date", "province", "slot").agg(newest)
+    return slots.select("date", "province", "slot", "newest.*")
 
 
 class AdTables:
     """The tables of the streams below one folder, and their checkpoints."""
 
     def __init__(self, spark: SparkSession, root: str, fold_every: int = 100):
-        def table(name, schema, resolve=None):
-            return BatchLog(spark, f"{root}/{name}", schema, resolve, fold_every)
-
         self.root = root
-        self.accepted = table("accepted_click", schemas.AD_CLICK)
-        self.passed = table("passed_click", schemas.AD_CLICK)
-        self.rejected = table("rejected_line", LINES)
-        self.passed_rejected = table("passed_rejected_line", LINES)
-        self.user_click_count = table(
-            "ad_user_click_count", schemas.AD_USER_CLICK_COUNT, sum_by_key(USER_AD_KEYS)
-        )
-        self.blacklist = table(
-            "ad_blacklist", schemas.AD_BLACKLIST, lambda log: log.select("user_id").distinct()
-        )
-        self.stat = table(
-            "ad_stat", schemas.AD_STAT, last_by_key(["date", "province", "city", "ad_id"])
+        self.filtered_path = f"{root}/filtered"
+
+        def filtered(kind, schema, resolve=None):
+            return SinkTable(spark, self.filtered_path, FILTERED, kind, schema, resolve)
+
+        def running(name, schema, resolve, by="date", fold_every=fold_every):
+            return BatchTable(spark, f"{root}/{name}", schema, by, resolve, fold_every)
+
+        self.accepted = filtered("click", schemas.AD_CLICK)
+        self.late = filtered("late", schemas.AD_CLICK)
+        self.rejected = filtered("rejected", LINES)
+        self.user_click_count = filtered(
+            "count", schemas.AD_USER_CLICK_COUNT, _largest(*USER_AD_KEYS)
         )
-        self.province_top3 = table(
-            "ad_province_top3", schemas.AD_PROVINCE_TOP3, last_group(["date", "province"])
+        self.blacklist = filtered(
+            "listed", schemas.AD_BLACKLIST, lambda log: log.select("user_id").distinct()
         )
-        self.trend = table(
-            "ad_click_trend",
-            schemas.AD_CLICK_TREND,
-            last_by_key(["date", "hour", "minute", "ad_id"]),
+        self.checked = running("checked_line", CHECKED, lambda log: log, "outcome", None)
+        self.stat = running("ad_stat", schemas.AD_STAT, _largest("date", "province", "city", "ad_id"))
+        self.trend = running(
+            "ad_click_trend", schemas.AD_CLICK_TREND, _largest("date", "hour", "minute", "ad_id")
         )
-        self.sliding_trend = table(
-            "ad_sliding_trend",
-            schemas.AD_SLIDING_TREND,
-            last_by_key(["window_start", "window_end", "ad_id"]),
+        self.slides = running(
+            "ad_slide_count", schemas.AD_SLIDE_COUNT, _largest("date", "slide_start", "ad_id")
         )
+        self.province_slots = running("ad_province_top", PROVINCE_SLOTS, _latest_slots)
+
+    def passed(self) -> DataFrame:
+        """The clicks that the filter by an outside list has let pass."""
+        rows = self.checked.table().where(F.col("outcome") == "passed")
+        return schemas.as_schema(rows, schemas.AD_CLICK)
+
+    def passed_rejected(self) -> DataFrame:
+        return self.checked.table().where(F.col("outcome") == "rejected").select("value")
+
+    def province_top3(self, k: int = 3) -> DataFrame:
+        """Top ads per day and province; ``k`` is at most that of the stream."""
+        top = F.arrays_zip(F.col("ad_ids").alias("ad_id"), F.col("click_counts").alias("click_count"))
+        ads = self.province_slots.table().select("date", "province", F.inline(top))
+        best = Window.partitionBy("date", "province").orderBy(F.desc("click_count"), F.asc("ad_id"))
+        ranked = ads.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return schemas.as_schema(ranked, schemas.AD_PROVINCE_TOP3)
+
+    def sliding_trend(
+        self, length_seconds: int = 3600, slide_seconds: int = 10, days: tuple[str, str] | None = None
+    ) -> DataFrame:
+        """Clicks per ad in sliding windows, from the counts per slide (of ``days`` only, if given)."""
+        slides = self.slides.table()
+        if days is not None:
+            slides = slides.where(F.col("date").between(*days))
+        return windows_of_slides(slides, length_seconds, slide_seconds)
 
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/_checkpoints/{query}"
 
 
-def _start(
+@contextmanager
+def _settings(spark: SparkSession, settings: Mapping[str, str | None]):
+    """Session settings for a while; a streaming query takes them over when it starts."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            if value is not None:
+                spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _started(
     stream: DataFrame,
-    on_batch: Callable[[DataFrame, int], None],
+    sink: Callable[[DataStreamWriter], DataStreamWriter],
     checkpoint: str,
     trigger: dict | None,
     mode: str = "append",
@@ -88,17 +153,18 @@ def _start(
 ) -> StreamingQuery:
     """Start a stream; the number of its state partitions stays as its first start sets it."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"})).foreachBatch(on_batch)
-    if state_partitions is None:
+    writer = sink(writer.trigger(**(trigger or {"processingTime": "5 seconds"})))
+    partitions = None if state_partitions is None else str(state_partitions)
+    settings = {
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    }
+    with _settings(stream.sparkSession, settings):
         return writer.start()
-    # A query takes the setting over when it starts.
-    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(key)
-    conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        conf.set(key, before)
+
+
+def _per_batch(on_batch: Callable[[DataFrame, int], None]):
+    return lambda writer: writer.foreachBatch(on_batch)
 
 
 def start_blacklist_filter(
@@ -110,16 +176,19 @@ def start_blacklist_filter(
 ) -> StreamingQuery:
     """Keep clicks of users not on a list kept elsewhere, read anew for each micro-batch.
 
-    What passes goes to ``tables.passed``, lines that are broken or too far ahead of the clock
-    to ``tables.passed_rejected``.
+    What passes and the lines that are broken or too far ahead of the clock go to
+    ``tables.checked``, in one write that a repeated batch replaces as a whole. The clock is
+    that of the micro-batch, so a line is one or the other.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        clicks = parse_ad_log(batch, max_ahead)
-        tables.passed.write(without_blacklisted(clicks, read_blacklist()), batch_id)
-        tables.passed_rejected.write(rejected_ad_log(batch, max_ahead), batch_id)
+        passing = without_blacklisted(batch.where("accepted"), read_blacklist())
+        passed = passing.withColumn("outcome", F.lit("passed"))
+        rejected = batch.where(~F.col("accepted")).withColumn("outcome", F.lit("rejected"))
+        tables.checked.write(passed.unionByName(rejected), batch_id)
 
-    return _start(lines, on_batch, tables.checkpoint("blacklist_filter"), trigger)
+    split = split_ad_log(lines, max_ahead)
+    return _started(split, _per_batch(on_batch), tables.checkpoint("blacklist_filter"), trigger)
 
 
 def start_dynamic_blacklist(
@@ -127,68 +196,99 @@ def start_dynamic_blacklist(
     tables: AdTables,
     threshold: int = BLACKLIST_THRESHOLD,
     trigger: dict | None = None,
-    keep_rejected: bool = True,
     max_ahead: str | None = MAX_AHEAD,
+    late_after: str | None = None,
+    state_partitions: int | None = None,
+    files_per_batch: int = 4,
 ) -> StreamingQuery:
     """Filter by the list, add up clicks per (date, user, ad), list users over the threshold.
 
-    A user listed by one micro-batch is filtered from the next one on. Each step reads
-    what the step before stored, so the batch itself is parsed once. Lines whose time is
-    more than ``max_ahead`` ahead of the clock are rejected like broken ones, and kept in
-    ``tables.rejected``.
+    A user listed by one micro-batch is filtered from the next one on; only those clicks
+    leave no record. All other lines go to one of ``tables.accepted``, ``tables.rejected``
+    (broken, or more than ``max_ahead`` ahead of the clock of their micro-batch) and
+    ``tables.late``. A click is late if, ``late_after`` being asked for, it is that much
+    older than the newest click of the micro-batches before; days that can have no more
+    clicks then leave the state. The clicks of one user in one micro-batch go through one
+    task, as a stream of rows.
     """
+    split = split_ad_log(lines, max_ahead)
+    clicks = split.where("accepted")
+    if late_after is not None:
+        clicks = clicks.withWatermark("ts", late_after)
+    # The operator itself tells late clicks from others, so it gets times as plain numbers.
+    keyed = clicks.select(*_narrow(CLICK)).groupBy("user_id")
+    mode = "none" if late_after is None else "eventTime"
+    outcomes = keyed.transformWithState(
+        ClickFilter(threshold, late_after is not None), OUTCOME, "append", mode
+    )
+    found = outcomes.select(
+        F.lit(None).cast("string").alias("value"), F.timestamp_micros("ts_us").alias("ts"),
+        "date", "province", "city", "user_id", "ad_id", "click_count", "kind",
+    )
+    rejected = split.where(~F.col("accepted")).select("value", F.lit("rejected").alias("kind"))
+    # Few files: only clicks are spread, each other kind of row goes into one.
+    spread = F.when(F.col("kind") == "click", F.pmod(F.xxhash64("user_id", "ts"), F.lit(files_per_batch)))
+    out = found.unionByName(rejected, allowMissingColumns=True)
+    out = out.repartition(files_per_batch, "kind", spread)
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        listed = tables.blacklist.table(through=batch_id - 1)
-        tables.accepted.write(without_blacklisted(parse_ad_log(batch, max_ahead), listed), batch_id)
-        if keep_rejected:
-            tables.rejected.write(rejected_ad_log(batch, max_ahead), batch_id)
-
-        counts = daily_user_ad_clicks(tables.accepted.batch(batch_id))
-        tables.user_click_count.write(counts, batch_id)
-
-        touched = tables.user_click_count.batch(batch_id)
-        totals = tables.user_click_count.table_for(touched, USER_AD_KEYS, batch_id)
-        over = users_over_threshold(totals, threshold)
-        tables.blacklist.write(append_new(listed, over, ["user_id"]), batch_id)
+    def sink(writer: DataStreamWriter) -> DataStreamWriter:
+        return writer.format("parquet").partitionBy("kind").option("path", tables.filtered_path)
 
-    return _start(lines, on_batch, tables.checkpoint("dynamic_blacklist"), trigger)
+    checkpoint = tables.checkpoint("dynamic_blacklist")
+    return _started(out, sink, checkpoint, trigger, state_partitions=state_partitions)
 
 
 def start_ad_stat(
     clicks: DataFrame,
     tables: AdTables,
-    k: int = 3,
     late_after: str | None = None,
     trigger: dict | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Running counts by (date, province, city, ad), and the top ads of changed provinces.
+    """Running counts by (date, province, city, ad).
 
     Counts never expire, unless ``late_after`` is asked for: then a day's counts may leave
     the state once a click that long after the next day's end has come, and clicks on that day
-    that come still later are dropped. Days are those of the session time zone either way.
+    that come still later are dropped. The filter stream with the same ``late_after`` has put
+    those into ``tables.late`` before, so of accepted clicks none is dropped here. Days are
+    those of the session time zone either way.
     """
     if late_after is None:
         running = ad_stat(clicks)
     else:
         # The end of the day is what the watermark looks at; a click's own day ends up to
         # a day after the click.
-        ends = clicks.withColumn("day_end", F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY"))
-        marked = ends.withWatermark("day_end", f"1 day {late_after}")
+        marked = _with_day_end(clicks).withWatermark("day_end", f"1 day {late_after}")
         per_day = marked.groupBy("day_end", "date", "province", "city", "ad_id")
         running = per_day.agg(F.count(F.lit(1)).alias("click_count")).drop("day_end")
+    sink, checkpoint = _per_batch(tables.stat.write), tables.checkpoint("ad_stat")
+    return _started(running, sink, checkpoint, trigger, "update", state_partitions)
 
-    def on_batch(changed: DataFrame, batch_id: int) -> None:
-        tables.stat.write(changed, batch_id)
-        in_groups = tables.stat.table_for(
-            tables.stat.batch(batch_id), ["date", "province"], batch_id
-        )
-        tables.province_top3.write(province_top_ads(province_ad_clicks(in_groups), k), batch_id)
 
-    return _start(
-        running, on_batch, tables.checkpoint("ad_stat"), trigger, "update", state_partitions
+def start_province_top(
+    clicks: DataFrame,
+    tables: AdTables,
+    k: int = 3,
+    late_after: str | None = None,
+    trigger: dict | None = None,
+    state_partitions: int | None = None,
+    slots: int = SLOTS,
+) -> StreamingQuery:
+    """The ``k`` most clicked ads of each province and day, as :meth:`AdTables.province_top3`.
+
+    The counts behind them are keyed state, and only tops that have changed are written.
+    With ``late_after`` a day leaves the state that long after its end.
+    """
+    if late_after is not None:
+        clicks = clicks.withWatermark("ts", late_after)
+    slot = F.pmod(F.xxhash64("ad_id"), F.lit(slots)).cast("long").alias("slot")
+    keyed = clicks.select("date", "province", slot, "ad_id", *_narrow(["day_end_ms"]))
+    mode = "none" if late_after is None else "eventTime"
+    tops = keyed.groupBy("date", "province", "slot").transformWithState(
+        TopAds(k, late_after is not None), TOP_ADS, "update", mode
     )
+    sink, checkpoint = _per_batch(tables.province_slots.write), tables.checkpoint("province_top")
+    return _started(tops, sink, checkpoint, trigger, "update", state_partitions)
 
 
 def start_ad_click_trend(
@@ -204,30 +304,41 @@ def start_ad_click_trend(
     for: then a minute leaves the state that long after its end.
     """
     per_minute = ad_click_trend(_marked(clicks, late_after))
-    checkpoint = tables.checkpoint("ad_click_trend")
-    return _start(per_minute, tables.trend.write, checkpoint, trigger, "update", state_partitions)
+    sink, checkpoint = _per_batch(tables.trend.write), tables.checkpoint("ad_click_trend")
+    return _started(per_minute, sink, checkpoint, trigger, "update", state_partitions)
 
 
 def start_sliding_trend(
     clicks: DataFrame,
     tables: AdTables,
-    length_seconds: int = 3600,
     slide_seconds: int = 10,
     late_after: str | None = None,
     trigger: dict | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Clicks per ad in sliding windows; windows expire as in :func:`start_ad_click_trend`.
+    """Clicks per ad and slide of time, from which :meth:`AdTables.sliding_trend` makes windows.
 
-    Without ``late_after`` the state keeps every window there ever was, each click being in
-    ``length / slide`` of them: give one where clicks cannot be late without bound.
+    A slide and ad are one row of state, however many windows a click falls into. Slides
+    expire as in :func:`start_ad_click_trend`.
     """
-    sliding = sliding_ad_trend(_marked(clicks, late_after), length_seconds, slide_seconds)
-    checkpoint = tables.checkpoint("sliding_trend")
-    return _start(
-        sliding, tables.sliding_trend.write, checkpoint, trigger, "update", state_partitions
-    )
+    per_slide = slide_counts(_marked(clicks, late_after), slide_seconds)
+    sink, checkpoint = _per_batch(tables.slides.write), tables.checkpoint("sliding_trend")
+    return _started(per_slide, sink, checkpoint, trigger, "update", state_partitions)
 
 
 def _marked(clicks: DataFrame, late_after: str | None) -> DataFrame:
     return clicks if late_after is None else clicks.withWatermark("ts", late_after)
+
+
+def _with_day_end(clicks: DataFrame) -> DataFrame:
+    return clicks.withColumn("day_end", F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY"))
+
+
+def _narrow(columns: list[str]) -> list:
+    """Columns for keyed state, times as numbers that need no conversion in Python."""
+    day_end = F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY")
+    made = {
+        "ts_us": F.unix_micros("ts").alias("ts_us"),
+        "day_end_ms": F.unix_millis(day_end).alias("day_end_ms"),
+    }
+    return [made.get(c, F.col(c)) for c in columns]

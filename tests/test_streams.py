@@ -1,6 +1,7 @@
 """Streams against their batch forms, in one file or many, with restarts and replays."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from clickloom.operators import ad_stats
 from clickloom.plans.ad_job import start_ad_job
 from clickloom.sources.ad_log import file_lines, parse_ad_log
 from clickloom.streaming import ad_streams
-from clickloom.streaming.batch_log import BatchLog, last_by_key, last_group, sum_by_key
+from clickloom.streaming.tables import BatchTable
 
 NOW = {"availableNow": True}
 MINUTE = 60_000
@@ -51,7 +52,16 @@ def _tables(spark, tmp_path, **more):
     return ad_streams.AdTables(spark, str(tmp_path / "tables"), **more)
 
 
-@pytest.mark.parametrize(("files", "fold_every"), [(1, 100), (4, 100), (4, 2)])
+def _forget_last_commit(tables, query):
+    """As if the last micro-batch had been cut off before it was marked as done."""
+    commits = f"{tables.checkpoint(query)}/commits"
+    last = max((n for n in os.listdir(commits) if n.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        if os.path.exists(f"{commits}/{name}"):
+            os.remove(f"{commits}/{name}")
+
+
+@pytest.mark.parametrize(("files", "fold_every"), [(1, 100), (4, 2)])
 def test_streams_equal_batch(spark, tmp_path, files, fold_every):
     lines = _log()
     _files(tmp_path / "in", lines, files)
@@ -63,14 +73,17 @@ def test_streams_equal_batch(spark, tmp_path, files, fold_every):
     assert _rows(tables.accepted.table()) == _rows(clicks)
     assert _rows(tables.user_click_count.table()) == _rows(
         ad_stats.daily_user_ad_clicks(clicks).select(schemas.AD_USER_CLICK_COUNT.names))
-    assert tables.blacklist.table().count() == 0
+    assert tables.blacklist.table().count() == tables.late.table().count() == 0
 
-    accepted = tables.accepted.stream(files_at_once=2)
+    accepted = tables.accepted.stream(files_at_once=8)
     ad_streams.start_ad_stat(accepted, tables, trigger=NOW).awaitTermination()
     stat = ad_stats.ad_stat(clicks)
     assert _rows(tables.stat.table()) == _rows(stat)
-    assert _rows(tables.province_top3.table()) == _rows(
-        ad_stats.province_top_ads(ad_stats.province_ad_clicks(stat)))
+
+    ad_streams.start_province_top(accepted, tables, trigger=NOW, slots=3).awaitTermination()
+    counts = ad_stats.province_ad_clicks(stat)
+    assert _rows(tables.province_top3()) == _rows(ad_stats.province_top_ads(counts))
+    assert _rows(tables.province_top3(1)) == _rows(ad_stats.province_top_ads(counts, 1))
 
     ad_streams.start_ad_click_trend(accepted, tables, trigger=NOW).awaitTermination()
     assert _rows(tables.trend.table()) == _rows(ad_stats.ad_click_trend(clicks))
@@ -93,7 +106,7 @@ def test_listed_user_is_filtered_from_the_next_batch_on(spark, tmp_path):
     _drop(tmp_path / "in", 2, ["6 P C 1 2", "7 P C 2 1", "8 P C 3 1"])
     tables = _tables(spark, tmp_path)
     source = file_lines(spark, str(tmp_path / "in"), 1)
-    ad_streams.start_dynamic_blacklist(source, tables, 3, NOW, keep_rejected=True).awaitTermination()
+    ad_streams.start_dynamic_blacklist(source, tables, 3, NOW).awaitTermination()
     by_user = {u: tables.accepted.table().where(F.col("user_id") == u).count() for u in (1, 2, 3)}
     assert by_user == {1: 3, 2: 3, 3: 1}
     assert _rows(tables.blacklist.table()) == [(1,), (2,)]
@@ -108,8 +121,40 @@ def test_lines_ahead_of_the_clock_are_kept_by_default(spark, tmp_path):
     none = spark.createDataFrame([], "user_id long")
     ad_streams.start_blacklist_filter(source, lambda: none, tables, NOW).awaitTermination()
     ad_streams.start_dynamic_blacklist(source, tables, 3, NOW).awaitTermination()
-    for table in (tables.passed_rejected, tables.rejected):
-        assert _rows(table.table()) == [(ahead,), ("broken",)]
+    for table in (tables.passed_rejected(), tables.rejected.table()):
+        assert _rows(table) == [(ahead,), ("broken",)]
+
+
+def test_no_line_is_lost_at_the_bound_of_the_clock(spark, tmp_path):
+    """Lines whose times pass the bound while the micro-batch runs, also when it is repeated."""
+    bound = int(time.time() * 1000) + 3_600_000
+    lines = [f"{bound + 50 * i} P C {i} 1" for i in range(-200, 400)]
+    _drop(tmp_path / "in", 0, lines)
+    tables = _tables(spark, tmp_path)
+    none = spark.createDataFrame([], "user_id long")
+
+    def run():
+        source = file_lines(spark, str(tmp_path / "in"), 1)
+        ad_streams.start_blacklist_filter(source, lambda: none, tables, NOW).awaitTermination()
+        ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW).awaitTermination()
+
+    def found():
+        pairs = [
+            (tables.passed(), tables.passed_rejected()),
+            (tables.accepted.table(), tables.rejected.table()),
+        ]
+        return [([r["user_id"] for r in a.collect()], _rows(b)) for a, b in pairs]
+
+    run()
+    first = found()
+    for users, rejected in first:
+        assert len(users) + len(rejected) == len(lines) and len(set(users)) == len(users)
+        assert users and rejected
+    for query in ("blacklist_filter", "dynamic_blacklist"):
+        _forget_last_commit(tables, query)
+    time.sleep(2)
+    run()
+    assert [(sorted(u), r) for u, r in found()] == [(sorted(u), r) for u, r in first]
 
 
 def test_outside_blacklist_is_read_anew_for_each_batch(spark, tmp_path):
@@ -123,7 +168,7 @@ def test_outside_blacklist_is_read_anew_for_each_batch(spark, tmp_path):
     tables = _tables(spark, tmp_path)
     source = file_lines(spark, str(tmp_path / "in"), 1)
     ad_streams.start_blacklist_filter(source, read, tables, NOW).awaitTermination()
-    assert [r["user_id"] for r in tables.passed.table().orderBy("user_id").collect()] == [1, 2, 2]
+    assert [r["user_id"] for r in tables.passed().orderBy("user_id").collect()] == [1, 2, 2]
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
@@ -156,46 +201,117 @@ def test_expiring_counts_equal_batch_when_nothing_is_late(spark, tmp_path):
     assert _rows(tables.stat.table()) == _rows(ad_stats.ad_stat(_batch_clicks(spark, lines)))
 
 
+def _stat_table(spark, tmp_path, fold_every=100):
+    keys = ["date", "province", "city", "ad_id"]
+    largest = lambda log: log.groupBy(*keys).agg(F.max("click_count").alias("click_count"))
+    return BatchTable(spark, str(tmp_path / "t"), schemas.AD_STAT, "date", largest, fold_every)
+
+
 def test_repeated_batch_changes_nothing(spark, tmp_path):
-    log = BatchLog(spark, str(tmp_path / "t"), schemas.AD_STAT, last_by_key(["date", "province", "city", "ad_id"]))
-
-    def stat(n):
-        return spark.createDataFrame([("2024-01-01", "P", "C", 1, n)], schemas.AD_STAT)
-
-    assert log.table().count() == 0
-    log.write(stat(3), 0)
-    log.write(stat(99), 0)
-    assert _rows(log.table()) == [("2024-01-01", "P", "C", 1, 3)]
-    log.write(stat(5), 1)
-    assert _rows(log.table()) == [("2024-01-01", "P", "C", 1, 5)]
-    assert _rows(log.table(through=0)) == [("2024-01-01", "P", "C", 1, 3)]
-    log.write(stat(1).where("false"), 2)
-    keys = ["date", "province"]
-    assert log.table_for(log.batch(2), keys, 2).count() == 0
-    assert _rows(log.table_for(log.batch(1), keys, 2)) == _rows(log.table())
-
-
-def test_batch_left_half_written_is_written_again(spark, tmp_path):
-    log = BatchLog(spark, str(tmp_path / "t"), schemas.AD_BLACKLIST)
-    spark.range(5).toDF("user_id").write.parquet(str(tmp_path / "t" / "_writing" / "b0"))
-    assert log.table().count() == 0
-    log.write(spark.createDataFrame([(7,)], schemas.AD_BLACKLIST), 0)
-    assert _rows(log.table()) == [(7,)]
-
-
-def test_group_replace_and_sums_survive_folds(spark, tmp_path):
-    top = BatchLog(spark, str(tmp_path / "top"), schemas.AD_PROVINCE_TOP3, last_group(["date", "province"]), 2)
-    count = BatchLog(spark, str(tmp_path / "sum"), schemas.AD_USER_CLICK_COUNT, sum_by_key(["date", "user_id", "ad_id"]), 2)
+    table = _stat_table(spark, tmp_path)
+
+    def stat(*rows):
+        return spark.createDataFrame(list(rows), schemas.AD_STAT)
+
+    one, two = ("2024-01-01", "P", "C", 1, 3), ("2024-01-02", "P", "C", 1, 5)
+    assert table.table().count() == 0
+    table.write(stat(one), 0)
+    table.write(stat(one), 0)
+    assert _rows(table.table()) == [one] and table.log().count() == 1
+    table.write(stat((*one[:4], 4), two), 1)
+    table.write(stat((*one[:4], 4), two), 1)
+    assert _rows(table.table()) == [(*one[:4], 4), two] and table.log().count() == 3
+    table.write(stat(one), 0)
+    assert _rows(table.table()) == [(*one[:4], 4), two]
+    table.write(stat(one).where("false"), 2)
+    assert _rows(table.table()) == [(*one[:4], 4), two]
+
+
+def test_folds_drop_what_they_hold(spark, tmp_path):
+    table = _stat_table(spark, tmp_path, fold_every=2)
     for n in range(5):
-        rows = [("d", "P", n, 10 + n), ("d", f"Q{n % 2}", 1, n)]
-        top.write(spark.createDataFrame(rows, schemas.AD_PROVINCE_TOP3), n)
-        count.write(spark.createDataFrame([("d", 1, 1, 10), ("d", n, 2, 1)], schemas.AD_USER_CLICK_COUNT), n)
-    assert _rows(top.table()) == [("d", "P", 4, 14), ("d", "Q0", 1, 4), ("d", "Q1", 1, 3)]
-    assert _rows(count.table()) == [("d", 0, 2, 1), ("d", 1, 1, 50), ("d", 1, 2, 1), ("d", 2, 2, 1),
-                                    ("d", 3, 2, 1), ("d", 4, 2, 1)]
-    assert _rows(count.table(through=2))[1] == ("d", 1, 1, 30)
-    with pytest.raises(ValueError):
-        count.stream()
+        rows = [(f"2024-01-0{1 + n // 2}", "P", "C", ad, 10 * n + ad) for ad in range(3)]
+        table.write(spark.createDataFrame(rows, schemas.AD_STAT), n)
+    expected = [(f"2024-01-0{1 + d}", "P", "C", ad, 10 * n + ad) for d, n in enumerate((1, 3, 4)) for ad in range(3)]
+    assert _rows(table.table()) == expected
+    # Two folds of one day each, and the last batch.
+    assert sorted({r["batch_id"] for r in table.log().collect()}) == [-4, -2, 4]
+    assert table.log().count() == 9
+
+
+def test_counts_repeat_with_their_batch(spark, tmp_path):
+    lines = _log(60)
+    _files(tmp_path / "in", lines, 2)
+    tables = _tables(spark, tmp_path)
+    queries = {"ad_stat": ad_streams.start_ad_stat, "province_top": ad_streams.start_province_top,
+               "ad_click_trend": ad_streams.start_ad_click_trend, "sliding_trend": ad_streams.start_sliding_trend}
+
+    def run():
+        for start in queries.values():
+            clicks = parse_ad_log(file_lines(spark, str(tmp_path / "in"), 1))
+            start(clicks, tables, trigger=NOW).awaitTermination()
+
+    def found():
+        shown = (tables.stat.table(), tables.province_top3(), tables.trend.table(), tables.slides.table())
+        return [_rows(t) for t in shown]
+
+    run()
+    first = found()
+    for query in queries:
+        _forget_last_commit(tables, query)
+    run()
+    assert found() == first
+
+
+def test_late_clicks_have_a_table(spark, tmp_path):
+    hour = 60 * MINUTE
+    times = [[10 * hour, 11 * hour], [50 * hour, 12 * hour], [13 * hour, 49 * hour + 1, 60 * hour], [48 * hour, 51 * hour, 59 * hour]]
+    lines = [[f"{t} P C {n % 2} {n}" for n, t in enumerate(ts)] + ["broken"] for ts in times]
+    for n, part in enumerate(lines):
+        _drop(tmp_path / "in", n, part)
+    tables = _tables(spark, tmp_path)
+    source = file_lines(spark, str(tmp_path / "in"), 1)
+    more = {"trigger": NOW, "late_after": "2 hours"}
+    query = ad_streams.start_dynamic_blacklist(source, tables, 1000, **more)
+    query.awaitTermination()
+
+    def millis(table):
+        return [r[0] for r in table.select(F.unix_millis("ts").alias("t")).orderBy("t").collect()]
+
+    # Bounds before each file: none, 9, 48 and 58 hours.
+    late = [13 * hour, 48 * hour, 51 * hour]
+    assert millis(tables.late.table()) == late
+    assert millis(tables.accepted.table()) == sorted(t for ts in times for t in ts if t not in late)
+    assert tables.rejected.table().count() == 4
+    # Days that can have no more clicks are out of the state.
+    assert query.lastProgress["stateOperators"][0]["customMetrics"]
+
+    clicks = tables.accepted.table()
+    accepted = tables.accepted.stream(files_at_once=5)
+    for start in (ad_streams.start_ad_stat, ad_streams.start_province_top,
+                  ad_streams.start_ad_click_trend, ad_streams.start_sliding_trend):
+        start(accepted, tables, **more).awaitTermination()
+    stat = ad_stats.ad_stat(clicks)
+    assert _rows(tables.stat.table()) == _rows(stat)
+    assert _rows(tables.province_top3()) == _rows(ad_stats.province_top_ads(ad_stats.province_ad_clicks(stat)))
+    assert _rows(tables.trend.table()) == _rows(ad_stats.ad_click_trend(clicks))
+    assert _rows(tables.sliding_trend(600, 10)) == _rows(ad_stats.sliding_ad_trend(clicks, 600, 10))
+
+
+def test_days_leave_the_state_of_users(spark, tmp_path):
+    day = 24 * 60 * MINUTE
+    for n in range(6):
+        _drop(tmp_path / "in", n, [f"{n * day} P C {u} 1" for u in range(5)])
+    state_rows = {}
+    for late_after in (None, "1 hour"):
+        tables = ad_streams.AdTables(spark, str(tmp_path / f"tables-{late_after is None}"))
+        source = file_lines(spark, str(tmp_path / "in"), 1)
+        query = ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW, late_after=late_after)
+        query.awaitTermination()
+        last = [p for p in query.recentProgress if p["stateOperators"]][-1]
+        state_rows[late_after] = last["stateOperators"][0]["numRowsTotal"]
+        assert tables.accepted.table().count() == 30
+    assert state_rows[None] == 30 > state_rows["1 hour"]
 
 
 def test_whole_job_runs_on_its_default_trigger(spark, tmp_path):
@@ -223,15 +339,15 @@ def test_a_line_from_the_future_is_rejected_and_nothing_is_lost(spark, tmp_path)
         _drop(tmp_path / "in", n, lines[10 * n : 10 * n + 10])
     tables = _tables(spark, tmp_path)
     source = file_lines(spark, str(tmp_path / "in"), 1)
-    ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW, keep_rejected=True).awaitTermination()
+    ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW).awaitTermination()
     assert tables.accepted.table().count() == 40
     assert _rows(tables.rejected.table()) == [(future,)]
-    accepted = tables.accepted.stream(files_at_once=1)
+    accepted = tables.accepted.stream(files_at_once=5)
     ad_streams.start_ad_click_trend(accepted, tables, trigger=NOW).awaitTermination()
-    ad_streams.start_sliding_trend(accepted, tables, 3600, 1200, trigger=NOW).awaitTermination()
+    ad_streams.start_sliding_trend(accepted, tables, 1200, trigger=NOW).awaitTermination()
     clicks = _batch_clicks(spark, lines)
     assert _rows(tables.trend.table()) == _rows(ad_stats.ad_click_trend(clicks))
-    assert _rows(tables.sliding_trend.table()) == _rows(ad_stats.sliding_ad_trend(clicks, 3600, 1200))
+    assert _rows(tables.sliding_trend(3600, 1200)) == _rows(ad_stats.sliding_ad_trend(clicks, 3600, 1200))
 
 
 def test_two_filters_on_the_same_tables_keep_their_rows(spark, tmp_path):
@@ -241,37 +357,7 @@ def test_two_filters_on_the_same_tables_keep_their_rows(spark, tmp_path):
     none = spark.createDataFrame([], "user_id long")
     ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW).awaitTermination()
     ad_streams.start_blacklist_filter(source, lambda: none, tables, NOW).awaitTermination()
-    assert tables.accepted.table().count() == tables.passed.table().count() == 3
-
-
-def test_a_new_checkpoint_on_old_tables_is_an_error(spark, tmp_path):
-    _drop(tmp_path / "in", 0, ["0 P C 1 1"])
-    tables = _tables(spark, tmp_path)
-    source = file_lines(spark, str(tmp_path / "in"), 1)
-    ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW).awaitTermination()
-    tables.checkpoint = lambda query: str(tmp_path / "new" / query)
-    with pytest.raises(Exception, match="another query"):
-        ad_streams.start_dynamic_blacklist(source, tables, 1000, NOW).awaitTermination()
-
-
-def test_a_batch_reads_no_other_day_and_no_null_group_is_lost(spark, tmp_path):
-    top = BatchLog(spark, str(tmp_path / "top"), schemas.AD_PROVINCE_TOP3, last_group(["date", "province"]))
-    top.write(spark.createDataFrame([("d1", None, 1, 1), ("d2", "P", 1, 1)], schemas.AD_PROVINCE_TOP3), 0)
-    top.write(spark.createDataFrame([("d1", None, 2, 5)], schemas.AD_PROVINCE_TOP3), 1)
-    assert sorted(map(tuple, top.table().collect())) == [("d1", None, 2, 5), ("d2", "P", 1, 1)]
-    found = top.table_for(top.batch(1), ["date", "province"], 1)
-    assert [tuple(r) for r in found.collect()] == [("d1", None, 2, 5)]
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(date,d1)" in plan or "In(date, [d1])" in plan
-
-
-def test_folded_batches_can_be_removed(spark, tmp_path):
-    count = BatchLog(spark, str(tmp_path / "sum"), schemas.AD_USER_CLICK_COUNT, sum_by_key(["date", "user_id", "ad_id"]), 2)
-    for n in range(5):
-        count.write(spark.createDataFrame([("d", 1, 1, 10)], schemas.AD_USER_CLICK_COUNT), n)
-    before = _rows(count.table())
-    assert count.expire() == 5 and count.expire() == 0
-    assert _rows(count.table()) == before == [("d", 1, 1, 50)]
+    assert tables.accepted.table().count() == tables.passed().count() == 3
 
 
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "Europe/Berlin"])
@@ -291,12 +377,17 @@ def test_days_are_those_of_the_session_zone(spark, tmp_path, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_sliding_windows_on_a_stream(spark, tmp_path):
+def test_sliding_windows_keep_one_row_of_state_per_slide(spark, tmp_path):
     lines = _log(40)
     _files(tmp_path / "in", lines, 3)
+    tables = _tables(spark, tmp_path)
     clicks = parse_ad_log(file_lines(spark, str(tmp_path / "in"), 1))
-    windows = ad_stats.sliding_ad_trend(clicks, 3600, 1200)
-    writer = windows.writeStream.outputMode("complete").format("memory").queryName("sliding_test")
-    writer.option("checkpointLocation", str(tmp_path / "c")).trigger(**NOW).start().awaitTermination()
-    batch = ad_stats.sliding_ad_trend(_batch_clicks(spark, lines), 3600, 1200)
-    assert _rows(spark.table("sliding_test")) == _rows(batch)
+    query = ad_streams.start_sliding_trend(clicks, tables, 10, trigger=NOW)
+    query.awaitTermination()
+    batch = _batch_clicks(spark, lines)
+    # 60 minutes every 10 seconds: a click is in 360 windows, and in one row of state.
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == len(lines)
+    assert _rows(tables.sliding_trend(3600, 10)) == _rows(ad_stats.sliding_ad_trend(batch, 3600, 10))
+    day = ("1970-01-01", "1970-01-01")
+    first = batch.where("date = '1970-01-01'")
+    assert _rows(tables.sliding_trend(60, 10, day)) == _rows(ad_stats.sliding_ad_trend(first, 60, 10))
