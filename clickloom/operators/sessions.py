@@ -19,6 +19,9 @@ from clickloom.operators.skew import key_copy
 from clickloom.sources.tables import broadcast_if_small
 from clickloom.sources.tasks import TaskParams
 
+# So many session ids, at some 100 bytes each, may be held by every executor.
+BROADCAST_SESSIONS = 100_000
+
 DETAIL_COLUMNS = (
     "user_id",
     "session_id",
@@ -127,3 +130,27 @@ def session_details(sessions: DataFrame, actions: DataFrame) -> DataFrame:
     ids = sessions.select(key_copy("session_id").alias("_session"))
     joined = actions.join(ids, actions["session_id"] == ids["_session"])
     return joined.select(*DETAIL_COLUMNS)
+
+
+def landed_session_details(sessions: DataFrame, actions: DataFrame) -> DataFrame:
+    """The action rows of sessions, both from one table bucketed by session.
+
+    Neither side is moved, and a session's rows are read by one task: for logs whose
+    sessions are of ordinary size. :func:`session_details` splits the others.
+    """
+    ids = sessions.select(F.col("session_id").alias("_session"))
+    joined = actions.join(ids.hint("merge"), actions["session_id"] == ids["_session"])
+    return joined.select(*DETAIL_COLUMNS)
+
+
+def sampled_session_details(sample: DataFrame, actions: DataFrame, total: int) -> DataFrame:
+    """The action rows of a sample of at most ``total`` sessions.
+
+    The ids are then of known size: up to ``BROADCAST_SESSIONS`` of them are broadcast, and
+    the actions are filtered where they are read.
+    """
+    if total > BROADCAST_SESSIONS:
+        return session_details(sample, actions)
+    ids = F.broadcast(sample.select(F.col("session_id").alias("_session")))
+    joined = actions.join(ids, actions["session_id"] == ids["_session"])
+    return joined.select(*DETAIL_COLUMNS)

@@ -13,6 +13,7 @@ from clickloom.operators.sessions import (
     actions_by_date,
     aggregate_sessions,
     filter_sessions,
+    sampled_session_details,
     session_details,
     session_statistics,
     with_user_info,
@@ -58,7 +59,7 @@ def run_session_job(
 
     sample = random_extract(sessions, task_id, sample_size)
     put(sample, "session_random_extract", schemas.SESSION_RANDOM_EXTRACT)
-    put(session_details(sample, in_range), "session_detail", schemas.SESSION_DETAIL)
+    put(sampled_session_details(sample, in_range, sample_size), "session_detail", schemas.SESSION_DETAIL)
 
     details = session_details(sessions, in_range)
     put(top_categories(category_counts(details)), "top10_category", TOP_CATEGORY)

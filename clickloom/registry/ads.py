@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clickloom import schemas
 from clickloom.functions.times import format_time
 from clickloom.operators import ad_stats as ops
 from clickloom.operators import upserts
 from clickloom.registry import inputs as i
-from clickloom.sources import fixtures
+from clickloom.sources import bucketed, fixtures
 from clickloom.sources.ad_log import parse_ad_log
 
 _STAT_KEYS = ["date", "province", "city", "ad_id"]
@@ -44,12 +45,29 @@ def _province_counts(spark, sf):
     return ops.province_ad_clicks(ops.ad_stat(clicks(spark, sf)))
 
 
-def _upsert_add(spark, sf):
+def _timed_counts(spark, sf):
+    """Counts of the forenoons, or of the afternoons."""
     parsed = clicks(spark, sf)
-    forenoon = F.date_format("ts", "HH") < "12"
-    target = ops.daily_user_ad_clicks(parsed.where(forenoon))
-    delta = ops.daily_user_ad_clicks(parsed.where(~forenoon))
-    return upserts.upsert_add(target, delta, ops.USER_AD_KEYS)
+    is_forenoon = F.date_format("ts", "HH") < "12"
+    return lambda forenoon: ops.daily_user_ad_clicks(
+        parsed.where(is_forenoon if forenoon else ~is_forenoon)
+    )
+
+
+def _upsert_add(spark, sf):
+    counts = _timed_counts(spark, sf)
+    return upserts.upsert_add(counts(True), counts(False), ops.USER_AD_KEYS)
+
+
+def _upsert_add_bucketed(spark, sf):
+    """The same counts, landed in a bucketed table and added to day by day."""
+    name, path = bucketed.new_table(spark, "user_counts")
+    keys = [c for c in ops.USER_AD_KEYS if c != bucketed.DAY]
+    bucketed.create_bucketed(spark, name, schemas.AD_USER_CLICK_COUNT, keys, i.BUCKETS, path)
+    counts = _timed_counts(spark, sf)
+    bucketed.land(counts(True), name)
+    bucketed.add_counts(spark, name, counts(False))
+    return spark.table(name)
 
 
 def _upsert_replace(spark, sf):
@@ -87,6 +105,7 @@ QUERIES = {
     "ad_click_trend": lambda s, d: ops.ad_click_trend(clicks(s, d)),
     "sliding_ad_trend": lambda s, d: ops.sliding_ad_trend(clicks(s, d), 3600, 600),
     "upsert_add": _upsert_add,
+    "upsert_add_bucketed": _upsert_add_bucketed,
     "upsert_replace": _upsert_replace,
     "replace_group": _replace_group,
     "blacklist_append": _blacklist_append,
@@ -155,6 +174,7 @@ ORACLES = {
         GROUP BY w, ad_id""",
     ),
     "upsert_add": i.with_tables(i.AD_CLICK, _COUNTS, query="SELECT * FROM user_counts"),
+    "upsert_add_bucketed": i.with_tables(i.AD_CLICK, _COUNTS, query="SELECT * FROM user_counts"),
     "upsert_replace": i.with_tables(
         i.AD_CLICK,
         _STAT,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from clickloom.sources.tasks import TaskParams
 
+# Buckets of the tables that queries land; a session or user is in one of them for each day.
+BUCKETS = 8
 FIRST_DAY, LAST_DAY = "2024-01-05", "2024-01-10"
 CLICK_START, CLICK_END = "1996-01-01", "1997-12-31"
 FLOW = "1,2,3,4,5"

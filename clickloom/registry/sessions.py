@@ -6,7 +6,9 @@ from clickloom.functions.labels import STEP_LENGTH_BUCKETS, VISIT_LENGTH_BUCKETS
 from clickloom.operators import sampling
 from clickloom.operators import sessions as ops
 from clickloom.registry import inputs as i
-from clickloom.sources import fixtures
+from clickloom.schemas import USER_VISIT_ACTION
+from clickloom.sources import bucketed, fixtures
+from clickloom.sources.workspace import stored
 
 _SESSION_TABLES = (i.USER_VISIT_ACTION, i.SESSIONS)
 _FULL_TABLES = (*_SESSION_TABLES, i.USER_INFO, i.FULL_SESSIONS)
@@ -26,7 +28,7 @@ def _filtered(spark, sf):
 
 
 def _sample(spark, sf, total=i.SAMPLE_SIZE):
-    return sampling.random_extract(_sessions(spark, sf), i.TASK_ID, total)
+    return sampling.random_extract(stored(_sessions(spark, sf), "sessions"), i.TASK_ID, total)
 
 
 def _filtered_by_lists(spark, sf):
@@ -43,7 +45,18 @@ def _session_detail(spark, sf):
 
 
 def _extract_session_detail(spark, sf):
-    return ops.session_details(_sample(spark, sf), fixtures.user_visit_action(spark, sf))
+    actions = fixtures.user_visit_action(spark, sf)
+    return ops.sampled_session_details(_sample(spark, sf), actions, i.SAMPLE_SIZE)
+
+
+def _landed_session_detail(spark, sf):
+    """Sessions and their actions from one landing by day and session."""
+    name, path = bucketed.new_table(spark, "landed_actions")
+    bucketed.create_bucketed(spark, name, USER_VISIT_ACTION, ["session_id"], i.BUCKETS, path)
+    bucketed.land(fixtures.user_visit_action(spark, sf), name)
+    landed = bucketed.of_days(spark, name, i.FIRST_DAY, i.LAST_DAY)
+    full = ops.with_user_info(ops.aggregate_sessions(landed), fixtures.user_info(spark, sf))
+    return ops.landed_session_details(ops.filter_sessions(full, i.SESSION_PARAMS), landed)
 
 
 QUERIES = {
@@ -60,6 +73,7 @@ QUERIES = {
     "session_filter_lists": _filtered_by_lists,
     "session_detail": _session_detail,
     "extract_session_detail": _extract_session_detail,
+    "landed_session_detail": _landed_session_detail,
 }
 
 
@@ -155,6 +169,12 @@ ORACLES = {
         query=f"""SELECT {_DETAIL} FROM user_visit_action a
         JOIN session_filtered s ON a.session_id = s.session_id""",
     ),
+    "landed_session_detail": i.with_tables(
+        *_FILTERED_TABLES,
+        query=f"""SELECT {_DETAIL} FROM user_visit_action a
+        JOIN session_filtered s ON a.session_id = s.session_id
+        WHERE a.date BETWEEN '{i.FIRST_DAY}' AND '{i.LAST_DAY}'""",
+    ),
     "extract_session_detail": i.with_tables(
         *_SESSION_TABLES,
         _SAMPLE,
