@@ -86,22 +86,38 @@ def _row_key() -> list[Column]:
 def _line_rows(docs: DataFrame, site_col: str, min_words: int) -> DataFrame:
     """(row key, place, line hash, site, doc_id) of each line long enough to count."""
     site = F.coalesce(F.col(site_col).cast("string"), F.lit("\0")).alias("site")
-    # The row key is taken once per document, below the generator.
-    keyed = docs.select("doc_id", site, *_row_key(), F.split("text", "\n").alias("lines"))
+    # White space and the row key are dealt with once per document, below the generator.
+    keyed = docs.select("doc_id", site, *_row_key(), F.split(_plain_lines(), "\n").alias("lines"))
     rows = keyed.select("doc_id", "k1", "k2", "site", F.posexplode("lines").alias("place", "line"))
-    spaced = rows.withColumn("line", F.translate("line", "\t\x0b\x0c\r", "    "))
-    single = F.when(F.instr("line", "  ") == 0, F.col("line"))
-    plain = spaced.withColumn(
-        "line", F.trim(F.coalesce(single, F.regexp_replace("line", " +", " ")))
-    )
-    spaces = F.length("line") - F.length(F.translate("line", " ", ""))
-    long_enough = plain.where((F.length("line") > 0) & (spaces >= min_words - 1))
+    long_enough = rows.where(_has_words(F.col("line"), min_words))
     return long_enough.select(
         "doc_id", "k1", "k2", "place", "site",
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"),
     )
 
 
+def _plain_lines() -> Column:
+    """The text with white space runs inside its lines as one space and none at their ends."""
+    text = F.col("text")
+    for c in "\t\x0b\x0c\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    single = F.when(F.instr(text, "  ") == 0, text)
+    text = F.coalesce(single, F.regexp_replace(text, " +", " "))
+    text = F.replace(F.replace(text, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    return F.trim(text)
+
+
+def _has_words(line: Column, n: int) -> Column:
+    """Whether a line with single spaces inside has so many words."""
+    if n <= 1:
+        return line != ""
+    place = F.instr(line, " ")
+    for _ in range(n - 2):
+        following = F.call_function("locate", F.lit(" "), line, place + 1)
+        place = F.when(place > 0, following).otherwise(0)
+    return place > 0
+
+
 def _spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     """(line hash, first document) of the lines on too many sites."""
     sketched = lines.groupBy("h1", "h2").agg(

@@ -4,7 +4,7 @@ import pytest
 from plain import RUN, base_counts, cleaned_lines, hits, windows
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, html_extract, quality_rules
+from clickloom.llm import decontaminate, html_extract, line_dedup, quality_rules
 from clickloom.llm.batches import written
 from clickloom.llm.decontaminate import hit_report, with_hits, without_passages
 from clickloom.llm.html_extract import INSIDE, OUTSIDE, UNDECIDED, extract_pages, page_blocks
@@ -82,6 +82,18 @@ def test_line_spread_edges(spark):
     assert with_line_spread(docs.limit(0)).count() == 0
 
 
+def test_words_of_lines_are_counted_after_cleaning(spark):
+    lines = ["", "a", "a b", "\ta  b \x0b c", " a b c d ", "a\rb c d e", "é ü ö"]
+    docs = spark.createDataFrame([(1, "\n".join(lines), "s"), (2, None, "s")], "doc_id long, text string, source string")
+    for n in range(1, 6):
+        rows = line_dedup._line_rows(docs, "source", n)
+        assert sorted(r["place"] for r in rows.collect()) == [i for i, x in enumerate(lines) if len(x.split()) >= n]
+    tidy = docs.select("doc_id", F.lit("a b c d\na b c").alias("text"), "source")
+    same = line_dedup._line_rows(tidy, "source", 3).select("h1", "h2").distinct().collect()
+    messy = docs.select("doc_id", F.lit("a  b c\td \n\x0ca b   c\r").alias("text"), "source")
+    assert {tuple(r) for r in same} == {tuple(r) for r in line_dedup._line_rows(messy, "source", 3).select("h1", "h2").collect()}
+
+
 def test_lines_on_many_sites_are_decided_by_sketches(spark):
     rows = [(i, "a line on many sites", f"s{i}") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
