@@ -63,7 +63,8 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>",
     re.S,
 )
-_NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# One attribute after the other, so that nothing inside a value is taken for one.
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
 def page_blocks(text: str | None) -> list[tuple[int, str]]:
@@ -150,7 +151,7 @@ def _zone_of(name: str, attributes: str, around: int) -> int:
         return OUTSIDE
     role = ""
     if attributes:
-        for key, *values in _NAMED.findall(attributes):
+        for key, *values in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), "".join(values).lower()
             if key == "role":
                 role = value

@@ -188,6 +188,24 @@ def test_pages_by_structure(table):
         assert (found[r.page_id].text, found[r.page_id].n_chars) == (want, len(want)) and want
 
 
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'title="the hidden gem"', 'data-id="nav"', "data-class='menu'",
+    "title='class=ad'", 'aria-label="hidden"', "data-hidden", 'alt="id = nav"', 'style="x" lang=en',
+])
+def test_only_an_attribute_s_own_name_counts(attributes):
+    page = f"<article><div {attributes}><p>Hello <b {attributes}>world</b></p></div></article>"
+    assert page_blocks(page) == [(INSIDE, "Hello world")]
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", 'class="x ad"', "CLASS=ad", 'id = "nav"', "data-x='1' hidden", 'aria-hidden="true"',
+    'title="a" role="search"', "class='y'id='nav'",
+])
+def test_attributes_that_put_a_block_outside(attributes):
+    page = f"<article><p>Hello</p><div {attributes}>gone</div></article>"
+    assert page_blocks(page) == [(INSIDE, "Hello"), (OUTSIDE, "gone")]
+
+
 def test_repeated_runs_of_a_host_go(spark):
     boiler = "subscribe now to get all of our news by mail every day"
     page = lambda i: f"<div>{boiler}</div><div>{i}th story of the host</div>"
