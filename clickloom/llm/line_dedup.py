@@ -39,8 +39,10 @@ def with_line_spread(
 
     A null text stays null and has no lines; a null site is a site of its own; among null
     ids only lines without any other document stay. Rows that are equal in id and text are
-    treated alike. An empty table gives no rows.
+    treated alike. An empty table gives no rows. A column named as ``spread`` is an error.
     """
+    if spread.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the documents have a column {spread} already")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     lines = written(_line_rows(docs, site_col, min_words), "lines")
     removed = _occurrences(lines, _spread_lines(lines, min_sites))

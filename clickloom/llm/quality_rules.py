@@ -63,9 +63,12 @@ def with_quality(
     A null or empty text has no words and fails. A null ``lang`` is a language of its own,
     as is every unknown one; their common words are those of all known languages. Where a
     language has no document that passes the base rules there is nothing to compare. Equal
-    rows get equal results; an empty table gives no rows.
+    rows get equal results; an empty table gives no rows. A column named as ``quality`` among
+    those kept is an error.
     """
     keep = list(docs.columns if keep is None else keep)
+    if quality.lower() in {c.lower() for c in keep}:
+        raise ValueError(f"the documents have a column {quality} already")
     measured = written(_measured(docs, keep), "quality")
     references = written(_references(measured), "quality-references")
     # Documents are not moved to meet the one row of their language, unless an odd column

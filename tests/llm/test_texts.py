@@ -82,6 +82,15 @@ def test_line_spread_edges(spark):
     assert with_line_spread(docs.limit(0)).count() == 0
 
 
+def test_a_column_of_the_result_s_name_is_an_error(make_docs):
+    docs = make_docs([(1, "some text")], source="s", lang="en")
+    with pytest.raises(ValueError, match="_lines"):
+        with_line_spread(docs)
+    with pytest.raises(ValueError, match="_quality"):
+        with_quality(docs)
+    assert with_quality(docs, keep=["doc_id"]).count() == 1
+
+
 def test_words_of_lines_are_counted_after_cleaning(spark):
     lines = ["", "a", "a b", "\ta  b \x0b c", " a b c d ", "a\rb c d e", "é ü ö"]
     docs = spark.createDataFrame([(1, "\n".join(lines), "s"), (2, None, "s")], "doc_id long, text string, source string")
