@@ -44,8 +44,10 @@ def packed_get(c: Column | str, field: str, delimiter: str = "|") -> Column:
     """Value of ``field`` in ``k=v|k=v|…``; first match wins, null when absent or empty.
 
     Blanks around names and values do not count, and an item with more than one
-    ``=`` is not a field.
+    ``=`` is not a field. The delimiter is one character.
     """
+    if len(delimiter) != 1:
+        raise ValueError("the delimiter of packed text is one character")
     d = re.escape(delimiter)
     pattern = rf"(?:^|{d})\s*{re.escape(field)}\s*=\s*([^={d}]*[^={d}\s])\s*(?={d}|$)"
     return F.nullif(F.regexp_extract(_col(c), pattern, 1), F.lit(""))

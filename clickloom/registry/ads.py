@@ -8,6 +8,7 @@ from clickloom import schemas
 from clickloom.functions.times import format_time
 from clickloom.operators import ad_stats as ops
 from clickloom.operators import upserts
+from clickloom.operators import user_bitmaps as bitmaps
 from clickloom.registry import inputs as i
 from clickloom.sources import bucketed, fixtures
 from clickloom.sources.ad_log import parse_ad_log
@@ -36,6 +37,27 @@ def _blacklist_filter(spark, sf):
     return shown(ops.without_blacklisted(parsed, early_blacklist(parsed)))
 
 
+def _day_bitmaps(parsed):
+    """Users over the threshold as one set per day."""
+    counts = ops.daily_user_ad_clicks(parsed)
+    over = counts.where(F.col("click_count") >= i.BLACKLIST_CLICKS)
+    return bitmaps.user_bitmaps(over, "date")
+
+
+def _blacklist_filter_bitmap(spark, sf):
+    parsed = clicks(spark, sf)
+    days = _day_bitmaps(parsed).where(F.col("date") <= i.LISTED_UNTIL)
+    return shown(bitmaps.without_members(parsed, days))
+
+
+def _daily_blacklist_bitmap(spark, sf):
+    return bitmaps.bitmap_users(bitmaps.merged_bitmaps(_day_bitmaps(clicks(spark, sf))))
+
+
+def _daily_users(spark, sf):
+    return bitmaps.bitmap_sizes(bitmaps.user_bitmaps(clicks(spark, sf), "date"), "date")
+
+
 def _click_count_lookup(spark, sf):
     counts = ops.daily_user_ad_clicks(clicks(spark, sf))
     return ops.click_count_lookup(counts, counts.where(F.col("date") <= "2024-01-15"))
@@ -109,6 +131,9 @@ QUERIES = {
     "upsert_replace": _upsert_replace,
     "replace_group": _replace_group,
     "blacklist_append": _blacklist_append,
+    "blacklist_filter_bitmap": _blacklist_filter_bitmap,
+    "daily_blacklist_bitmap": _daily_blacklist_bitmap,
+    "daily_users": _daily_users,
 }
 
 _SHOWN = """SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS click_time, date, province, city,
@@ -190,4 +215,10 @@ ORACLES = {
         WHERE rank <= CASE WHEN date >= '2024-01-10' THEN 1 ELSE 3 END""",
     ),
     "blacklist_append": DAILY_BLACKLIST,
+    "blacklist_filter_bitmap": BLACKLIST_FILTER,
+    "daily_blacklist_bitmap": DAILY_BLACKLIST,
+    "daily_users": i.with_tables(
+        i.AD_CLICK,
+        query="SELECT date, count(DISTINCT user_id) AS users FROM ad_click GROUP BY date",
+    ),
 }

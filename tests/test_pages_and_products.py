@@ -1,8 +1,10 @@
 """Page flow and area products on hand-made rows."""
 
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.operators import area_products, page_flow
 from clickloom.schemas import CITY_INFO, PRODUCT_INFO
@@ -23,7 +25,7 @@ def test_steps_follow_time_and_not_arrival(actions):
     assert steps == [(1, 2), (2, 3)]
 
 
-@pytest.mark.parametrize("slices", ["HOUR", "DAY", "SECOND", "YEAR"])
+@pytest.mark.parametrize("slices", [1, 7, 30, 1000])
 def test_steps_are_the_same_for_any_slice(actions, slices):
     rng = random.Random(3)
     data = {
@@ -42,7 +44,7 @@ def test_steps_are_the_same_for_any_slice(actions, slices):
     assert sorted(tuple(r) for r in got) == sorted(expected)
 
 
-@pytest.mark.parametrize("slices", ["HOUR", "SECOND"])
+@pytest.mark.parametrize("slices", [1, 1000])
 def test_a_null_page_is_a_step_of_its_own(actions, slices):
     df = _visits(actions, {
         "s": [("2024-01-01 10:00:00", 1), ("2024-01-01 10:00:01", None), ("2024-01-01 11:00:00", 2),
@@ -55,18 +57,46 @@ def test_a_null_page_is_a_step_of_its_own(actions, slices):
         [("s", 1, None), ("s", None, 2), ("s", 2, 3), ("s", 3, None), (None, 1, 2)], key=str)
     pairs = page_flow.page_split_pairs(df, "1,2,3", slices).collect()
     assert sorted(r["page_split"] for r in pairs) == ["1_2", "2_3"]
-    rates = page_flow.page_convert_rates(df, "1,2,3", slice_unit=slices).collect()
+    rates = page_flow.page_convert_rates(df, "1,2,3", slice_rows=slices).collect()
     assert [r["convert_rate"] for r in rates] == [0.5, 1.0]
 
 
 def test_rates_sort_the_visits_once(actions, spark, tmp_path):
     path = str(tmp_path / "a")
     _visits(actions, {"s": [("2024-01-01 10:00:00", 1), ("2024-01-01 10:00:01", 2)]}).write.parquet(path)
-    rates = page_flow.page_convert_rates(spark.read.parquet(path), "1,2")
-    rates.collect()
-    plan = rates._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    # One window over the visits, one over the slices' first pages.
-    assert plan.count("Window [lead") == 2 and plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    plans = {}
+    for slice_rows in (1, 2):
+        rates = page_flow.page_convert_rates(spark.read.parquet(path), "1,2", slice_rows=slice_rows)
+        rates.collect()
+        plan = rates._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        plans[slice_rows] = plan.count("Window [lead"), plan.count("FileScan"), "ReusedExchange" in plan
+    # A session is one window; where it is cut, another places the first pages of its parts.
+    assert plans == {2: (1, 1, False), 1: (2, 2, True)}
+
+
+def test_an_hour_of_one_session_is_spread_over_tasks(actions, spark):
+    rng = random.Random(5)
+    # Nine of ten rows in one session and hour, half of those within one second.
+    hot = [(f"2024-01-01 10:{rng.randint(0, 59):02d}:{rng.randint(0, 59):02d}", rng.randint(0, 9)) for _ in range(1000)]
+    hot += [("2024-01-01 10:30:00", rng.randint(0, 40)) for _ in range(1000)]
+    data = {"hot": hot, **{f"s{s}": [(f"2024-01-01 11:00:0{i}", i) for i in range(5)] for s in range(40)}}
+    expected = []
+    for session, visits in data.items():
+        pages = [page for _, page in sorted(visits)]
+        expected += [(session, a, b) for a, b in zip(pages, pages[1:])]
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        steps = page_flow.page_steps(_visits(actions, data), 100)
+        got = steps.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(tuple(r)[:3] for r in got) == sorted(expected)
+    tasks = Counter(r["task"] for r in got if r["session_id"] == "hot")
+    assert len(tasks) >= 12 and max(tasks.values()) < 600
 
 
 def test_rates_along_the_flow(actions):
