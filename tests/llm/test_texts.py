@@ -1,7 +1,9 @@
 import hashlib
+import pickle
+import random
 
 import pytest
-from plain import RUN, base_counts, cleaned_lines, hits, windows
+from plain import RUN, WORD, base_counts, cleaned_lines, hits, windows
 from pyspark.sql import functions as F
 
 from clickloom.llm import decontaminate, html_extract, line_dedup, quality_rules
@@ -17,10 +19,12 @@ SHARED = "Nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eig
 # ---- benchmark passages
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 24, 500])
-def test_hits_match_a_plain_search(table, monkeypatch, block_bytes):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+@pytest.mark.parametrize(("bound", "blocks"), [("BLOCK_BYTES", 1), ("BLOCK_BYTES", 3), ("BLOCK_WORDS", 20)])
+def test_hits_match_a_plain_search(table, monkeypatch, bound, blocks):
     docs, bench = table("documents").select("doc_id", "text"), table("benchmark")
+    texts = [r.text or "" for r in bench.collect()]
+    size = sum(len(t.encode()) if bound == "BLOCK_BYTES" else len(WORD.findall(t.lower())) for t in texts)
+    monkeypatch.setattr(decontaminate, bound, -(-size // blocks))
     found = windows([(r.item_id, r.text) for r in bench.collect()])
     report = {r.doc_id: r for r in hit_report(with_hits(docs, bench, keep=["doc_id"])).collect()}
     n = 0
@@ -32,6 +36,38 @@ def test_hits_match_a_plain_search(table, monkeypatch, block_bytes):
     assert n > 0
 
 
+def test_a_set_of_windows_is_a_few_times_its_text():
+    rng = random.Random(4)
+    names = [f"word{n}" for n in range(60_000)]
+    items = [(str(n), " ".join(rng.choices(names, k=200))) for n in range(8_500)]
+    size = sum(len(t) for _, t in items)
+    assert 15 << 20 < size < 17 << 20
+    assert len(pickle.dumps(decontaminate.Windows(items, 10))) < 100 << 20
+
+
+def test_windows_in_long_and_odd_texts():
+    rng = random.Random(6)
+    words = ["a", "B", "zz", "x" * 30, "é", "日本", "0"]
+    items = [(f"i{n % 30}", "-".join(rng.choices(words, k=rng.randint(0, 13)))) for n in range(40)]
+    items += [("repeats", "b " * 60), ("twin", "b " * 60), ("long", "y" * (1 << 21))]
+    texts = ["", "...", " ".join(rng.choices(words, k=20_000)), "y" * (1 << 21), "b " * 500, "A", items[5][1]]
+    texts += [("," * (1 << 20))[:-3] + " ".join(rng.choices(words, k=300)), "x" * 29 + " " + "y" * (1 << 20)]
+    book, found = decontaminate.Windows(items, 10), windows(items)
+    all_words = decontaminate.Words([t.encode() for t in texts])
+    got = {}
+    for at, size, names in book.find(all_words):
+        doc = int(all_words.text[at])
+        first = int((all_words.text < doc).sum())
+        hit, seen = got.setdefault(doc, (set(), set()))
+        hit.update(range(at - first, at - first + size))
+        seen.update(names)
+    for doc, text in enumerate(texts):
+        w, hit, names = hits(text, found)
+        assert int((all_words.text == doc).sum()) == len(w)
+        assert got.get(doc, (set(), set())) == (set(hit), set(names))
+    assert len(got) >= 4
+
+
 def test_passages_are_cut_out(spark, make_docs):
     bench = spark.createDataFrame(
         [(1, SHARED), (2, "Short item"), (3, None), (None, "no id at all"), (4, "!!"), (1, SHARED)],
