@@ -122,8 +122,8 @@ def test_session_job(spark, tasks, shop, tmp_path):
 
 
 def test_page_job(spark, tasks, shop, tmp_path):
-    for unit in ("HOUR", "MINUTE"):
-        run_page_job(tasks, shop[0], 1, str(tmp_path), unit)
+    for slice_rows in (1_000_000, 1):
+        run_page_job(tasks, shop[0], 1, str(tmp_path), slice_rows)
     got = tables.read_results(
         spark, f"{tmp_path}/page_split_convert_rate", schemas.PAGE_SPLIT_CONVERT_RATE)
     assert [tuple(r) for r in got.collect()] == [(1, "1_2=1.0|2_3=0.5")]
