@@ -30,7 +30,7 @@ def token_counts(
 def _count(batches, tokenizer):
     for batch in by_bytes(batches, "text"):
         texts = texts_of(batch)
-        _, counts = encoder(tokenizer_path(tokenizer)).encode(texts)
+        counts = encoder(tokenizer_path(tokenizer)).count(texts)
         sizes = pa.compute.binary_length(texts).cast(pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], sizes, pa.array(counts, pa.int64())],

@@ -33,6 +33,25 @@ def test_units_encode_as_whole_texts(monkeypatch):
     assert at == len(found)
 
 
+def test_units_are_remembered_over_batches(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_UNITS", 300)
+    rng = random.Random(11)
+    parts = [*"ab'39,$-<|>\n \u00f1\u00d7\u00f7\u00df\u01c0\u024f\u0250\u00aa\u00b2\u3002\u30ab\u4e2d",
+             "word", " Wörd", "end.", "'re", "<|endoftext|>", "\n\n", "\nLine", " (it's)", "***"]
+    one = Encoder(tokenizer_path(NAME))
+    for size in (1, 700, 0, 3000, 40):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(size)]
+        held = pa.array(["other", *texts, "more"], pa.large_string()).slice(1, size)
+        found, counts = one.encode(held)
+        want = [ids(t) for t in texts]
+        assert counts.tolist() == one.count(held).tolist() == [len(w) for w in want]
+        assert found.tolist() == [i for w in want for i in w]
+        assert len(one._known) == len(one._lengths) == len(one._used) <= 300
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokens, "_added_tokens", lambda path: ([], None))
+        assert Encoder(tokenizer_path(NAME)).encode(held)[0].tolist() == found.tolist()
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_other_tokenizers_encode_whole(name):
     texts = ["Hello  there", "", "a\nb <|endoftext|> c"]
