@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.batches import written
 from clickloom.llm.decontaminate import without_passages
 from clickloom.llm.line_dedup import without_spread_lines
 from clickloom.llm.near_dedup import without_near_duplicates
 from clickloom.llm.packing import packed_documents
 from clickloom.llm.quality_rules import quality_filter
+from clickloom.sources.workspace import drop_folder, work_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -58,10 +58,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each written before the next one reads it."""
+    """The stages over ``documents``, each written before the next one reads it.
+
+    A stage's table goes once the next one is written; the last of them stays, as the result
+    still reads it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = work_folder(spark, name)
+        kept = stage(spark, docs, sf_dir)
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before is not None:
+            drop_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
