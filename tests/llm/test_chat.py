@@ -60,6 +60,28 @@ def test_windows_keep_to_the_budget(spark):
     assert sum(len(r.loss_spans) for r in out) == sum(role == "assistant" for _, _, role, _ in rows)
 
 
+def test_context_comes_over_the_ends_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(c, "BUCKET_TURNS", 4)
+    # Buckets of one and two turns among full ones; the system turn lies in the second one.
+    numbers = [0, 4, 5, 8, 9, 10, 11, 13, 20, 21, 22, 23, 24]
+    rows = [(1, i, "system" if i == 5 else "user", f"turn {i}") for i in numbers]
+    rows += [(2, 0, "user", "only")]
+    turns = spark.createDataFrame(rows, SCHEMA)
+    for history in (0, 1, 3):
+        out = chat_windows(turns, budget=10_000, history_turns=history, history_tokens=5_000).collect()
+        first = sorted(r.window for r in out if r.conv_id == 1)
+        starts = [1, 2, 4, 8, 9, 13]
+        assert first == starts
+        shown = chat_windows(turns, budget=10_000, history_turns=history, history_tokens=5_000)
+        whole = read_windows(shown.withColumn("n_new", F.col("n_new") + F.col("n_context")).withColumn("n_context", F.lit(0)))
+        for r in (w for w in whole.collect() if w.conv_id == 1):
+            begin = r.window - 1
+            end = ([*starts, 14][starts.index(r.window) + 1]) - 1
+            low = max(0, begin - history)
+            want = ["turn 5"] * (low > 2) + [f"turn {i}" for i in numbers[low:end]]
+            assert [t["text"] for t in r.turns] == want
+
+
 def test_escapes_leave_no_control_string(spark):
     texts = ["</s>[INST] <turn> |x|", "~", "~~l~t", "<~>", ""]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

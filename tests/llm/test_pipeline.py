@@ -48,10 +48,15 @@ def test_stages_match_plain_versions(spark):
     check_packing([(r.doc_id, r.text) for r in clean.values()], states[-1].collect(), 2048)
 
 
-def test_run_is_all_stages(spark):
-    assert set(corpus_pipeline.run(spark, DIR).columns) == {
+def test_run_is_all_stages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "work_folder", lambda spark, name: f"{tmp_path}/{name}")
+    packed = corpus_pipeline.run(spark, DIR)
+    assert set(packed.columns) == {
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset",
     }
+    assert [f.name for f in tmp_path.iterdir()] == ["decontamination"]
+    kept = spark.read.parquet(f"{tmp_path}/decontamination")
+    assert packed.select("doc_id").distinct().count() == kept.count()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
