@@ -8,20 +8,24 @@ from pyspark.sql import functions as F
 from clickloom.functions.times import format_date
 
 
-def _fields(lines: DataFrame) -> DataFrame:
-    parts = lines.select("value", F.split("value", " ").alias("parts"))
+def typed_fields(parts: Column) -> list[Column]:
+    """The fields of a log line that was split at blanks; null where one is missing or broken."""
 
     def field(i: int) -> Column:
-        return F.try_element_at("parts", F.lit(i))
+        return F.try_element_at(parts, F.lit(i))
 
-    return parts.select(
-        "value",
+    return [
         F.timestamp_millis(field(1).try_cast("long")).alias("ts"),
         field(2).alias("province"),
         field(3).alias("city"),
         field(4).try_cast("long").alias("user_id"),
         field(5).try_cast("long").alias("ad_id"),
-    )
+    ]
+
+
+def _fields(lines: DataFrame) -> DataFrame:
+    parts = lines.select("value", F.split("value", " ").alias("parts"))
+    return parts.select("value", *typed_fields(F.col("parts")))
 
 
 def _is_complete(max_ahead: str | None) -> Column:

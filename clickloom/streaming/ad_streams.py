@@ -5,7 +5,7 @@
                     |                              -> clicks per minute, clicks per slide
                     +-> rejected lines, late clicks, totals per user and ad, listed users
 
-The filter remembers each user's totals and whether the user is listed, and writes all it
+The filter remembers users' totals and whether they are listed, and writes all it
 gives out through one file sink. The other streams follow the accepted clicks and keep
 running counts in the state store, so a micro-batch costs what its own rows cost and no
 table is read back.
@@ -16,12 +16,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import ArrayType, LongType
 
 from clickloom import schemas
+from clickloom.functions.times import format_date
 from clickloom.operators.ad_stats import (
     BLACKLIST_THRESHOLD,
     USER_AD_KEYS,
@@ -31,7 +32,7 @@ from clickloom.operators.ad_stats import (
     windows_of_slides,
     without_blacklisted,
 )
-from clickloom.sources.ad_log import split_ad_log
+from clickloom.sources.ad_log import split_ad_log, typed_fields
 from clickloom.streaming.keyed_state import CLICK, OUTCOME, TOP_ADS, ClickFilter, TopAds
 from clickloom.streaming.tables import BatchTable, SinkTable
 
@@ -49,6 +50,8 @@ CHECKED = schemas.columns(
 PROVINCE_SLOTS = schemas.columns("date string, province string, slot bigint, version bigint")
 for _name in ("ad_ids", "click_counts"):
     PROVINCE_SLOTS.add(_name, ArrayType(LongType()))
+# Users are dealt to so many keys of state.
+USER_BUCKETS = 4096
 # A province's ads are dealt to so many keys of state.
 SLOTS = 16
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -200,6 +203,7 @@ def start_dynamic_blacklist(
     late_after: str | None = None,
     state_partitions: int | None = None,
     files_per_batch: int = 4,
+    buckets: int = USER_BUCKETS,
 ) -> StreamingQuery:
     """Filter by the list, add up clicks per (date, user, ad), list users over the threshold.
 
@@ -208,23 +212,23 @@ def start_dynamic_blacklist(
     (broken, or more than ``max_ahead`` ahead of the clock of their micro-batch) and
     ``tables.late``. A click is late if, ``late_after`` being asked for, it is that much
     older than the newest click of the micro-batches before; days that can have no more
-    clicks then leave the state. The clicks of one user in one micro-batch go through one
-    task, as a stream of rows.
+    clicks then leave the state. The clicks of one bucket in one micro-batch go through one
+    task, as a stream of rows. Users are dealt to ``buckets`` keys of state, whose number must
+    stay as the first start sets it; a micro-batch reads and writes its days in its buckets.
     """
     split = split_ad_log(lines, max_ahead)
     clicks = split.where("accepted")
     if late_after is not None:
         clicks = clicks.withWatermark("ts", late_after)
-    # The operator itself tells late clicks from others, so it gets times as plain numbers.
-    keyed = clicks.select(*_narrow(CLICK)).groupBy("user_id")
+    # The operator itself tells late clicks from others, so it gets times, as plain numbers.
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).alias("bucket")
+    click = F.concat_ws(" ", *[c.cast("string") for c in _narrow(CLICK)]).alias("click")
+    keyed = clicks.select(bucket, click).groupBy("bucket")
     mode = "none" if late_after is None else "eventTime"
     outcomes = keyed.transformWithState(
         ClickFilter(threshold, late_after is not None), OUTCOME, "append", mode
     )
-    found = outcomes.select(
-        F.lit(None).cast("string").alias("value"), F.timestamp_micros("ts_us").alias("ts"),
-        "date", "province", "city", "user_id", "ad_id", "click_count", "kind",
-    )
+    found = _filtered_rows(outcomes)
     rejected = split.where(~F.col("accepted")).select("value", F.lit("rejected").alias("kind"))
     # Few files: only clicks are spread, each other kind of row goes into one.
     spread = F.when(F.col("kind") == "click", F.pmod(F.xxhash64("user_id", "ts"), F.lit(files_per_batch)))
@@ -238,6 +242,41 @@ def start_dynamic_blacklist(
     return _started(out, sink, checkpoint, trigger, state_partitions=state_partitions)
 
 
+def _filtered_rows(outcomes: DataFrame) -> DataFrame:
+    """What :class:`ClickFilter` gives out in lists, as a row for each click, total and listed user."""
+    totals = F.arrays_zip("dates", "user_ids", "ad_ids", "click_counts")
+
+    def total(t: Column) -> Column:
+        return _found("count", date=t["dates"], user=t["user_ids"], ad=t["ad_ids"], n=t["click_counts"])
+
+    found = F.concat(
+        F.transform("clicks", lambda line: _found("click", line=line)),
+        F.transform("late", lambda line: _found("late", line=line)),
+        F.transform(totals, total),
+        F.transform("listed", lambda user: _found("listed", user=user)),
+    )
+    rows = outcomes.select(F.inline(found))
+    # Lines are read again here: taking all of their fields through the state costs far more.
+    ts, province, city, user_id, ad_id = typed_fields(F.split("line", " "))
+    return rows.select(
+        F.lit(None).cast("string").alias("value"),
+        ts,
+        F.coalesce("date", format_date(ts)).alias("date"),
+        province,
+        city,
+        F.coalesce("user", user_id).alias("user_id"),
+        F.coalesce("ad", ad_id).alias("ad_id"),
+        F.col("n").alias("click_count"),
+        "kind",
+    )
+
+
+def _found(kind: str, **known: Column) -> Column:
+    types = {"line": "string", "date": "string", "user": "long", "ad": "long", "n": "long"}
+    values = [known.get(name, F.lit(None)).cast(t).alias(name) for name, t in types.items()]
+    return F.struct(F.lit(kind).alias("kind"), *values)
+
+
 def start_ad_stat(
     clicks: DataFrame,
     tables: AdTables,

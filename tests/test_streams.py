@@ -391,3 +391,52 @@ def test_sliding_windows_keep_one_row_of_state_per_slide(spark, tmp_path):
     day = ("1970-01-01", "1970-01-01")
     first = batch.where("date = '1970-01-01'")
     assert _rows(tables.sliding_trend(60, 10, day)) == _rows(ad_stats.sliding_ad_trend(first, 60, 10))
+
+
+def test_filter_costs_few_state_entries_and_keeps_users_of_a_bucket_apart(spark, tmp_path):
+    """Users share keys of state: an entry per bucket and day, none of a listed user, the results per user."""
+    day = 24 * 60 * MINUTE
+    files = [[f"{(n + d) * day + u} P{u % 2} C {u} {a}" for d in range(3) for u in range(40) for a in (1, 2000)]
+             + 2 * [f"{(n + d) * day} P C {u} 1" for d in range(3) for u in range(10 * n, 10 * n + 5)]
+             for n in (0, 1, 2)]
+    for n, lines in enumerate(files):
+        _drop(tmp_path / "in", n, lines)
+    tables = _tables(spark, tmp_path)
+    source = file_lines(spark, str(tmp_path / "in"), 1)
+    query = ad_streams.start_dynamic_blacklist(source, tables, 4, NOW, buckets=2)
+    query.awaitTermination()
+
+    # The same by hand, user by user.
+    counts, listed, accepted, recorded = {}, set(), [], {}
+    for lines in files:
+        now = [(x, f"1970-01-0{1 + int(x.split()[0]) // day}", *map(int, x.split()[3:])) for x in lines]
+        now = [x for x in now if x[2] not in listed]
+        accepted += [x[0] for x in now]
+        for _, date, user, ad in now:
+            recorded[date, user, ad] = counts[date, user, ad] = counts.get((date, user, ad), 0) + 1
+        listed |= {user for (_, user, _), n in counts.items() if n >= 4}
+        counts = {k: n for k, n in counts.items() if k[1] not in listed}
+    assert 0 < len(listed) < 40
+    assert _rows(tables.blacklist.table()) == [(u,) for u in sorted(listed)]
+    clicks = _batch_clicks(spark, accepted).select(*schemas.AD_CLICK.names)
+    assert _rows(tables.accepted.table()) == _rows(clicks)
+    totals = tables.user_click_count.table().select("date", "user_id", "ad_id", "click_count")
+    assert _rows(totals) == sorted((*k, n) for k, n in recorded.items())
+    assert tables.rejected.table().count() == tables.late.table().count() == 0
+    # Two lists of users, and at most two entries for each of the five days.
+    last = [p for p in query.recentProgress if p["stateOperators"]][-1]
+    assert last["stateOperators"][0]["numRowsTotal"] <= 2 + 2 * 5
+
+
+def test_more_lines_and_totals_than_a_row_holds(spark, tmp_path):
+    """One user with very many clicks on very many ads in one micro-batch, and odd lines."""
+    lines = [f"{i} P C 1 {i % 2500}" for i in range(4000)] + ["5 P C 2 7 and more", "6  C -2 -7"]
+    _drop(tmp_path / "in", 0, lines)
+    tables = _tables(spark, tmp_path)
+    source = file_lines(spark, str(tmp_path / "in"), 1)
+    ad_streams.start_dynamic_blacklist(source, tables, 3, NOW).awaitTermination()
+    clicks = _batch_clicks(spark, lines)
+    assert _rows(tables.accepted.table()) == _rows(clicks)
+    assert _rows(tables.user_click_count.table()) == _rows(
+        ad_stats.daily_user_ad_clicks(clicks).select(schemas.AD_USER_CLICK_COUNT.names))
+    assert tables.blacklist.table().count() == 0
